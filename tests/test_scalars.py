@@ -1,0 +1,129 @@
+import math
+import random
+
+import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of
+from threadtone.constants import STATES
+from threadtone.functions import scalars
+from threadtone.functions.sql import register_functions
+
+
+def column(spark, values, kind):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+
+
+def apply(spark, values, kind, expression):
+    rows = column(spark, values, kind).select("i", expression(F.col("x")).alias("y"))
+    return [r.y for r in rows.orderBy("i").collect()]
+
+
+@pytest.mark.parametrize(
+    "label, value",
+    [
+        ("1", 1), ("-1", -1), ("0", 0), ("1.0", 1), ("-1.0", -1), (" 1 ", 1), ("+1", 1),
+        ("1.7", 1), ("", None), ("x", None), (None, None), ("NaN", None), ("1 1", None),
+        ("99999999999999", None), ("2", 2),
+    ],
+)
+def test_label_value(spark, label, value):
+    assert apply(spark, [label], "string", scalars.label_value) == [value]
+    assert apply(spark, [label], "string", scalars.positive_label) == [int(value == 1)]
+    assert apply(spark, [label], "string", scalars.negative_label) == [int(value == -1)]
+
+
+def test_numeric_labels_work_too(spark):
+    assert apply(spark, [1, -1, 0, None], "int", scalars.positive_label) == [1, 0, 0, 0]
+    assert apply(spark, [1.0, -1.0], "double", scalars.negative_label) == [0, 1]
+
+
+def test_fresh_comment(spark):
+    bodies = ["&gt; quote", " &gt; no quote", "fine /s", "/search", "fine", "", None]
+    df = column(spark, bodies, "string").where(scalars.is_fresh_comment(F.col("x")))
+    assert [r.x for r in df.orderBy("i").collect()] == [" &gt; no quote", "fine", ""]
+
+
+def test_fresh_comment_reaches_the_scan(spark, testdata):
+    pages = spark.read.parquet(f"{testdata}/pages.parquet").select("url")
+    plan = plan_of(pages.where(scalars.is_fresh_comment(F.col("url"))))
+    assert "Not(StringStartsWith(url,&gt))" in plan
+    assert "Not(StringContains(url,/s))" in plan
+
+
+def test_submission_id(spark):
+    links = ["t3_abc", "t3_", "t3", "", None, "é3_ñandu"]
+    assert apply(spark, links, "string", scalars.submission_id) == [
+        "abc", "", "", "", None, "ñandu",
+    ]
+
+
+def test_threshold_is_taken_on_single_precision(spark):
+    # 0.2 as a float lies above 0.2; 0.25 is exact and does not exceed itself.
+    def flagged(p, limit):
+        vector = array_to_vector(F.array(1 - p, p))
+        return scalars.flag(scalars.class1_probability(vector), limit)
+
+    values = [0.2, 0.25, 0.19999, 0.3]
+    assert apply(spark, values, "double", lambda p: flagged(p, 0.2)) == [1, 1, 0, 1]
+    assert apply(spark, values, "double", lambda p: flagged(p, 0.25)) == [0, 0, 0, 1]
+
+
+def test_flag_of_unknown_probability_is_zero(spark):
+    assert apply(spark, [None], "float", lambda p: scalars.flag(p, 0.2)) == [0]
+
+
+def test_states(spark):
+    assert len(STATES) == len(set(STATES)) == 51
+    places = ["Texas", "texas", "Texas ", "Puerto Rico", "District of Columbia", ""]
+    assert apply(spark, places, "string", scalars.in_states) == [
+        True, False, False, False, True, False,
+    ]
+
+
+def test_null_state_is_out(spark):
+    df = column(spark, [None, "Ohio"], "string").where(scalars.in_states(F.col("x")))
+    assert [r.x for r in df.collect()] == ["Ohio"]
+
+
+@pytest.mark.parametrize(
+    "zone, day", [("UTC", "2017-11-07"), ("America/Los_Angeles", "2017-11-06")]
+)
+def test_day_is_cut_in_the_session_zone(spark, zone, day):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = apply(
+            spark, [1510012800, None], "bigint",
+            lambda c: scalars.local_date(c).cast("string"),
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [day, None]
+
+
+def test_rounding_equals_exact_half_even(spark):
+    rng = random.Random(5)
+    values = [0.0135, 0.0625, 0.1875, 0.5, 0.0005, 0.0015, 0.0025, -0.0625, -0.0135, 1.0, 0.0]
+    values += [k / 10000 for k in range(-10000, 10000, 5)]
+    values += [rng.uniform(-1, 1) for _ in range(5000)]
+    values += [rng.randrange(0, 400) / rng.randrange(1, 400) for _ in range(5000)]
+    got = apply(spark, values, "double", lambda c: scalars.round_half_even(c, 3))
+    wrong = [(v, g) for v, g in zip(values, got, strict=True) if g != round(v, 3)]
+    assert not wrong, wrong[:5]
+
+
+def test_rounding_keeps_null_and_nan(spark):
+    got = apply(spark, [None, math.nan], "double", lambda c: scalars.round_half_even(c, 3))
+    assert got[0] is None and math.isnan(got[1])
+
+
+def test_sql_functions(spark):
+    register_functions(spark)
+    row = spark.sql(
+        "SELECT cutoff('t3_xyz') AS a, cutoff(NULL) AS b, validstate('Ohio') AS c, "
+        "validstate('ohio') AS d, validstate(NULL) AS e, "
+        "CASE WHEN getProbability(array(0.8D, 0.2D)) > 0.2 THEN 1 ELSE 0 END AS f"
+    ).first()
+    assert tuple(row) == ("xyz", None, 1, 0, 0, 1)

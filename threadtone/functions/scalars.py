@@ -80,4 +80,5 @@ def round_half_even(value: Column, digits: int) -> Column:
         .when(over_half < -low_part, 0.0)
         .otherwise(F.pmod(whole, F.lit(2.0)))
     )
-    return (whole + step) / F.lit(power)
+    rounded = (whole + step) / F.lit(power)
+    return F.when(F.isnan(value), value).otherwise(rounded)

@@ -68,8 +68,13 @@ def fit_vocabulary(
     ``size`` bounds what reaches the driver.  Ties at the limit are cut in term
     order, so the same texts give the same vocabulary on any cluster.
     """
-    chosen = most_frequent(term_statistics(df, grams, min_df), size)
-    terms = [row.term for row in chosen.select("term").collect()]
+    stats = term_statistics(df, grams, min_df).persist()
+    try:
+        fits = stats.count() <= size
+        chosen = stats.orderBy("term") if fits else most_frequent(stats, size)
+        terms = [row.term for row in chosen.select("term").collect()]
+    finally:
+        stats.unpersist()
     if not terms:
         raise ValueError(f"no term occurs in {min_df} texts")
     return CountVectorizerModel.from_vocabulary(

@@ -54,12 +54,13 @@ def labelled_grams(
 ) -> DataFrame:
     """``Input_id``, the binary labels and the gram list of each labelled comment.
 
-    Stored once and read back: the vocabulary and every model start from it.
+    Stored once and read back: the vocabulary and every model start from it.  The
+    rebalanced files make partitions of a useful size for the many passes.
     """
     raw = labelled_comments(labeled, comments, [t.label for t in targets])
     ready = with_grams(with_binary_labels(raw, targets)).select(
         "Input_id", *label_columns(targets), "grams"
-    )
+    ).hint("rebalance")
     return write_then_read(ready, fresh_path(comments.sparkSession, "labelled-grams"))
 
 
@@ -118,7 +119,7 @@ def train(
     grid: Sequence[float] = REGULARISATION_GRID,
     folds: int = FOLDS,
     evaluate: bool = True,
-    concurrent_models: int = 3,
+    concurrent_models: int = 6,
 ) -> Trained:
     """Fit the vocabulary on all labelled comments and the models on half of them.
 
