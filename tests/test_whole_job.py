@@ -1,0 +1,189 @@
+import csv
+import glob
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_io import write_lines
+from threadtone.operators.classifier import TARGETS, Target, add_probability
+from threadtone.plans import scoring
+from threadtone.plans.training import Bundle, train
+from threadtone.plans.whole_job import run
+from threadtone.sources import readers
+
+GOOD = "great superb lovely brilliant fine".split()
+BAD = "awful terrible dire grim poor".split()
+FILLER = "the vote today in this town was about taxes and roads".split()
+
+
+@pytest.fixture(scope="module")
+def inputs(tmp_path_factory):
+    """Comments whose words give their label away."""
+    folder = tmp_path_factory.mktemp("inputs")
+    rng = random.Random(1)
+    comments, labels = [], ["Input_id,labeldem,labelgop,labeldjt"]
+    for i in range(600):
+        mood = rng.choice([1, -1, 0])
+        words = rng.choices(FILLER, k=8)
+        words += rng.choices({1: GOOD, -1: BAD, 0: FILLER}[mood], k=4)
+        body = " ".join(words)
+        if i % 50 == 7:
+            body = "&gt; " + body
+        if i % 50 == 8:
+            body += " /s"
+        comments.append(
+            {"id": f"c{i}", "body": body, "link_id": f"t3_s{i % 20}",
+             "created_utc": 1510012800 + i * 3600, "score": i % 9,
+             "author_flair_text": ["Ohio", "Utah", "Narnia", None][i % 4]}
+        )
+        if i < 300:
+            labels.append(f"c{i},{mood},{-mood},{mood if i % 10 else ''}")
+    submissions = [{"id": f"s{i}", "score": i % 5} for i in range(18)]
+    return {
+        "labeled": write_lines(folder / "labeled_data.csv", labels),
+        "comments": write_lines(folder / "comments.json.bz2", comments),
+        "submissions": write_lines(folder / "submissions.json.bz2", submissions),
+        "rows": comments,
+    }
+
+
+@pytest.fixture(scope="module")
+def trained(spark, inputs):
+    return train(
+        readers.read_labeled(spark, inputs["labeled"]),
+        readers.read_comments(spark, inputs["comments"]),
+        TARGETS,
+        seed=3,
+    )
+
+
+def test_six_models_learn_the_words(spark, trained):
+    assert list(trained.bundle.models) == [
+        "djt_pos", "djt_neg", "dem_pos", "dem_neg", "gop_pos", "gop_neg",
+    ]
+    assert all(0.8 < auc <= 1 for auc in trained.cv_auc.values())
+    assert all(0.8 < auc <= 1 for auc in trained.holdout_auc.values())
+    metrics = trained.metrics(spark)
+    assert metrics.count() == 6
+    model = trained.bundle.models["dem_pos"].bestModel
+    assert model.getMaxIter() == 10 and model.getRegParam() == 1.0
+
+
+def test_training_repeats_with_its_seed(spark, inputs, trained):
+    again = train(
+        readers.read_labeled(spark, inputs["labeled"]),
+        readers.read_comments(spark, inputs["comments"]).repartition(5),
+        (Target("dem", "labeldem"),),
+        seed=3,
+    )
+    assert again.bundle.vocabulary.vocabulary == trained.bundle.vocabulary.vocabulary
+    one = again.bundle.models["dem_pos"].bestModel.coefficients.toArray()
+    two = trained.bundle.models["dem_pos"].bestModel.coefficients.toArray()
+    assert abs(one - two).max() < 1e-9
+
+
+def test_one_pass_equals_join_of_two_outputs(spark, inputs, trained):
+    bundle = trained.bundle
+    comments = readers.read_comments(spark, inputs["comments"])
+    unseen = scoring.unseen_comments(comments, 0.5, seed=2)
+    scored = scoring.score(unseen.select("id", "body"), bundle)
+    flags = scoring.flags(scored, bundle)
+    assert flags.columns == ["id", *bundle.models]
+
+    from threadtone.functions.scalars import class1_probability, flag
+    from threadtone.functions.text import with_grams
+    from threadtone.operators.joins import both_probabilities
+
+    vectors = bundle.vocabulary.transform(with_grams(unseen.select("id", "body")))
+    apart = both_probabilities(
+        add_probability(vectors, bundle.models["dem_pos"], "probability"),
+        add_probability(vectors, bundle.models["dem_neg"], "probability"),
+    ).select(
+        "id",
+        flag(class1_probability(F.col("pos_prob")), 0.2).alias("p"),
+        flag(class1_probability(F.col("neg_prob")), 0.25).alias("n"),
+    )
+    got = {r.id: (r.dem_pos, r.dem_neg) for r in flags.collect()}
+    assert got == {r.id: (r.p, r.n) for r in apart.collect()}
+    assert {v for pair in got.values() for v in pair} == {0, 1}
+
+
+def test_unseen_comments(spark, inputs):
+    comments = readers.read_comments(spark, inputs["comments"])
+    everything = scoring.unseen_comments(comments, 1.0)
+    ids = {r.id for r in everything.select("id").collect()}
+    wanted = {
+        r["id"] for r in inputs["rows"]
+        if not r["body"].startswith("&gt") and "/s" not in r["body"]
+    }
+    assert ids == wanted and len(wanted) == 576
+    some = scoring.unseen_comments(comments, 0.2, by_hash=False)
+    assert 60 < some.count() < 170
+
+
+def test_sentiment_carries_the_body_on_request(spark, inputs, trained):
+    comments = readers.read_comments(spark, inputs["comments"])
+    submissions = readers.read_submissions(spark, inputs["submissions"])
+    unseen = scoring.unseen_comments(comments, 0.3, seed=1)
+    narrow = scoring.sentiment(unseen, submissions, trained.bundle)
+    wide = scoring.sentiment(unseen, submissions, trained.bundle, carry=["body"])
+    assert "body" not in narrow.columns and "body" in wide.columns
+    bodies = {r["id"]: r["body"] for r in inputs["rows"]}
+    rows = wide.collect()
+    assert rows and all(r.body == bodies[r.comment_id] for r in rows)
+    # s18 and s19 are no submissions.
+    assert not {"s18", "s19"} & {r.link_id for r in rows}
+
+
+def test_models_survive_a_save(spark, tmp_path, trained):
+    folder = str(tmp_path / "models")
+    for _ in range(2):  # saving again replaces
+        trained.bundle.save(folder)
+    loaded = Bundle.load(folder, TARGETS)
+    assert loaded.vocabulary.vocabulary == trained.bundle.vocabulary.vocabulary
+    for name, model in trained.bundle.models.items():
+        assert loaded.models[name].bestModel.coefficients == model.bestModel.coefficients
+        assert loaded.models[name].avgMetrics == pytest.approx(model.avgMetrics)
+
+
+def read_rows(path):
+    with open(path, newline="") as f:
+        return list(csv.reader(f))
+
+
+def test_run_publishes_twelve_files_and_reuses_its_tables(spark, inputs, tmp_path):
+    args = (inputs["labeled"], inputs["comments"], inputs["submissions"])
+    out = str(tmp_path / "out")
+    written = run(spark, *args, out, fraction=0.5, seed=3)
+    assert sorted(os.path.basename(p) for p in written) == sorted(
+        f"{prefix}{file}.csv"
+        for prefix in ("", "dem_", "gop_")
+        for file in ("time_data", "state_data", "comment_score", "submission_score")
+    )
+    headers = {os.path.basename(p): read_rows(p)[0] for p in written}
+    assert headers["time_data.csv"] == ["date", "pos_avg_day", "neg_avg_day"]
+    assert headers["dem_state_data.csv"] == ["state", "Positive", "Negative"]
+    assert headers["gop_comment_score.csv"] == ["comment_score", "Positive", "Negative"]
+    states = read_rows(f"{out}/state_data.csv")[1:]
+    assert [r[0] for r in states] == ["Ohio", "Utah"]
+    assert all(0 <= float(x) <= 1 for r in states for x in r[1:])
+    days = [r[0] for r in read_rows(f"{out}/time_data.csv")[1:]]
+    assert days == sorted(days) and days[0] >= "2017-11-07"
+
+    shared = spark.conf.get("spark.checkpoint.dir")
+    tables = {d: os.path.getmtime(f"{d}/_SUCCESS") for d in glob.glob(f"{shared}/sentiment-*")}
+    before = {os.path.basename(p): read_rows(p) for p in written}
+    again = run(spark, *args, str(tmp_path / "again"), fraction=0.5, seed=3)
+    assert {os.path.basename(p): read_rows(p) for p in again} == before
+    assert {
+        d: os.path.getmtime(f"{d}/_SUCCESS") for d in glob.glob(f"{shared}/sentiment-*")
+    } == tables
+
+    # Stored models give the same files without training.
+    loaded = run(
+        spark, *args, str(tmp_path / "loaded"), fraction=0.5, seed=3,
+        model_folder=f"{out}/models",
+    )
+    assert {os.path.basename(p): read_rows(p) for p in loaded} == before
