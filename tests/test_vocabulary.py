@@ -45,7 +45,7 @@ def test_same_vocabulary_as_count_vectorizer(spark, testdata):
         inputCol="grams", outputCol="vectorized", minDF=5.0, binary=True
     ).fit(grams)
     assert set(ours.vocabulary) == set(theirs.vocabulary)
-    assert ours.vocabulary == sorted(ours.vocabulary)
+    assert fit_vocabulary(grams.repartition(7)).vocabulary == ours.vocabulary
     counts = [
         {r.id: r.vectorized.numNonzeros() for r in m.transform(grams).collect()}
         for m in (ours, theirs)
@@ -57,7 +57,7 @@ def test_same_vocabulary_as_count_vectorizer(spark, testdata):
 def test_vectors_are_binary_and_keep_the_empty_gram(spark):
     df = docs(spark, [["a", "a", ""], ["a", "b", "", ""]])
     model = fit_vocabulary(df, min_df=2)
-    assert model.vocabulary == ["", "a"]
+    assert sorted(model.vocabulary) == ["", "a"]
     vectors = model.transform(df)
     assert all(set(r.vectorized.values) == {1.0} for r in vectors.collect())
     terms = {tuple(r) for r in vector_terms(vectors, model, ["id"]).collect()}

@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadtone.constants import MIN_DOCUMENT_FREQUENCY, VOCABULARY_SIZE
 
+BROADCAST_CHARACTERS = 1 << 25
+
 
 def term_statistics(
     df: DataFrame, grams: str = "grams", min_df: int = MIN_DOCUMENT_FREQUENCY
 ) -> DataFrame:
     """``term, document_frequency, total_count`` of terms in at least ``min_df`` texts.
 
-    Each text's grams are sorted so that a repeat stands next to its original and
-    one pass yields both counts.
+    Each text's grams are sorted and zipped with themselves shifted by one, so a
+    repeat stands next to its original: one pass over the grams and one shuffle
+    yield both counts, without a lambda per gram.
     """
-    ordered = df.select(F.array_sort(F.col(grams)).alias("g"))
-    marked = F.transform(
-        "g",
-        lambda term, i: F.struct(
-            term.alias("term"),
-            F.when((i > 0) & (term == F.get("g", i - 1)), 0).otherwise(1).alias("first"),
-        ),
+    ordered = df.select(F.sort_array(F.col(grams)).alias("term"))
+    shifted = F.concat(F.array(F.lit(None).cast("string")), F.col("term"))
+    pairs = ordered.withColumn("before", shifted).select(
+        F.inline(F.arrays_zip("term", "before"))
     )
+    repeat = F.col("term") == F.col("before")
     return (
-        ordered.select(F.inline(marked))
+        pairs.where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(
-            F.sum("first").alias("document_frequency"),
+            F.sum(F.when(repeat, 0).otherwise(1)).alias("document_frequency"),
             F.count(F.lit(1)).alias("total_count"),
         )
         .where(F.col("document_frequency") >= min_df)
@@ -65,31 +66,43 @@ def fit_vocabulary(
 ) -> CountVectorizerModel:
     """Binary bag-of-words model with the ``size`` most frequent terms.
 
-    ``size`` bounds what reaches the driver.  Ties at the limit are cut in term
-    order, so the same texts give the same vocabulary on any cluster.
+    The terms are chosen by aggregation, so only those in the model reach the
+    driver.  They arrive there from one sorted partition of at most ``size`` rows:
+    the same texts give the same model, term by term, on any cluster.
     """
     stats = term_statistics(df, grams, min_df).persist()
     try:
-        fits = stats.count() <= size
-        chosen = stats.orderBy("term") if fits else most_frequent(stats, size)
-        terms = [row.term for row in chosen.select("term").collect()]
+        if stats.isEmpty():
+            raise ValueError(f"no term occurs in {min_df} texts")
+        chosen = stats if stats.count() <= size else most_frequent(stats, size)
+        rows = (
+            chosen.select("term")
+            .repartition(1)
+            .sortWithinPartitions("term")
+            .select(F.array("term").alias(grams))
+        )
+        return CountVectorizer(
+            inputCol=grams, outputCol=output, minDF=1.0, vocabSize=size, binary=True
+        ).fit(rows)
     finally:
         stats.unpersist()
-    if not terms:
-        raise ValueError(f"no term occurs in {min_df} texts")
-    return CountVectorizerModel.from_vocabulary(
-        terms, inputCol=grams, outputCol=output, binary=True
-    )
 
 
 def vector_terms(
     df: DataFrame, model: CountVectorizerModel, keys: list[str], vector: str = "vectorized"
 ) -> DataFrame:
-    """The terms present in each vector, one row each."""
-    spark = df.sparkSession
-    names = spark.createDataFrame(
-        list(enumerate(model.vocabulary)), "position int, term string"
+    """The terms present in each vector, one row each.
+
+    The vocabulary has at most as many terms as it was fitted for, so it is the
+    side to broadcast, unless its text is long.  Left to itself Spark may pick the
+    other side, as it does not foresee how many rows the vectors unfold into.
+    """
+    terms = model.vocabulary
+    names = df.sparkSession.createDataFrame(
+        list(enumerate(terms)), "position int, term string"
     )
+    if sum(map(len, terms)) <= BROADCAST_CHARACTERS:
+        names = F.broadcast(names)
     present = df.select(
         *keys, F.explode(F.unwrap_udt(F.col(vector))["indices"]).alias("position")
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from math import ceil
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.feature import CountVectorizerModel
@@ -35,6 +37,11 @@ from threadtone.session import fresh_path
 from threadtone.sources.readers import spread
 from threadtone.sources.writers import write_then_read
 
+# Each pass over the data costs every partition a gradient as long as the
+# vocabulary, so a partition should hold rows enough to be worth one.
+ROWS_PER_PARTITION = 4096
+CONCURRENT_MODELS = 6
+
 
 def label_columns(targets: Sequence[Target]) -> list[str]:
     return [f"{t.name}_{kind}" for t in targets for kind in (POSITIVE, NEGATIVE)]
@@ -64,6 +71,14 @@ def labelled_grams(
     return write_then_read(ready, fresh_path(comments.sparkSession, "labelled-grams"))
 
 
+def _each(work: Callable[[str], Any], names: Sequence[str]) -> list[Any]:
+    # A model is fitted, saved or loaded by a chain of short Spark jobs.  Issued
+    # one model after the other they would leave most of a cluster idle.
+    spark = SparkSession.getActiveSession()
+    with ThreadPoolExecutor(CONCURRENT_MODELS) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), names))
+
+
 @dataclass(frozen=True)
 class Bundle:
     """What scoring needs: the vocabulary and the models by flag column."""
@@ -73,20 +88,24 @@ class Bundle:
     models: dict[str, CrossValidatorModel]
 
     def save(self, folder: str) -> None:
+        """Write all models below ``folder``, replacing what is there."""
+
+        def save_one(name: str) -> None:
+            path = f"{folder}/{name}.model"
+            self.models[name].write().overwrite().save(path)
+
         self.vocabulary.write().overwrite().save(f"{folder}/vocabulary")
-        for name, model in self.models.items():
-            model.write().overwrite().save(f"{folder}/{name}.model")
+        _each(save_one, list(self.models))
 
     @classmethod
     def load(cls, folder: str, targets: Sequence[Target]) -> Bundle:
-        return cls(
-            tuple(targets),
-            CountVectorizerModel.load(f"{folder}/vocabulary"),
-            {
-                name: CrossValidatorModel.load(f"{folder}/{name}.model")
-                for name in label_columns(targets)
-            },
-        )
+        def load_one(name: str) -> CrossValidatorModel:
+            return CrossValidatorModel.load(f"{folder}/{name}.model")
+
+        names = label_columns(targets)
+        models = dict(zip(names, _each(load_one, names), strict=True))
+        vocabulary = CountVectorizerModel.load(f"{folder}/vocabulary")
+        return cls(tuple(targets), vocabulary, models)
 
 
 @dataclass(frozen=True)
@@ -119,18 +138,23 @@ def train(
     grid: Sequence[float] = REGULARISATION_GRID,
     folds: int = FOLDS,
     evaluate: bool = True,
-    concurrent_models: int = 6,
 ) -> Trained:
     """Fit the vocabulary on all labelled comments and the models on half of them.
 
-    The split goes by comment id, so it is the same on every run and cluster.  The
-    models' Spark jobs are submitted from a few threads: each of them is a chain
-    of short jobs that would leave most of a cluster idle.
+    The split goes by comment id, so it is the same on every run and cluster.  As
+    many folds are fitted at a time as the cluster has room for.
     """
     grams = labelled_grams(labeled, comments, targets)
     vocabulary = fit_vocabulary(grams, min_df=min_df, size=vocabulary_size)
     names = label_columns(targets)
     features = vocabulary.transform(grams).select("Input_id", *names, "vectorized")
+    partitions = max(1, ceil(grams.count() / ROWS_PER_PARTITION))
+    # By id and in its order, so that the random folds are the same every time.
+    features = features.repartition(partitions, "Input_id").sortWithinPartitions(
+        "Input_id"
+    )
+    slots = comments.sparkSession.sparkContext.defaultParallelism
+    folds_at_a_time = max(1, min(folds, slots // partitions))
     rest = 1.0 - TRAIN_FRACTION
     learn, held_out = hash_split(features, "Input_id", (TRAIN_FRACTION, rest), seed)
     learn, held_out = learn.persist(), held_out.persist()
@@ -138,13 +162,13 @@ def train(
     learn.count()
 
     def fit(name: str) -> tuple[str, CrossValidatorModel, float | None]:
-        model = cross_validate(learn, name, seed=seed, grid=grid, folds=folds)
+        model = cross_validate(
+            learn, name, seed=seed, grid=grid, folds=folds, parallelism=folds_at_a_time
+        )
         return name, model, holdout_auc(model, held_out, name) if evaluate else None
 
     try:
-        spark = comments.sparkSession
-        with ThreadPoolExecutor(concurrent_models) as pool:
-            fits = list(pool.map(inheritable_thread_target(spark)(fit), names))
+        fits = _each(fit, names)
     finally:
         learn.unpersist()
         held_out.unpersist()

@@ -95,7 +95,8 @@ def body_file_cleaning(spark, folder):
 
 @_register
 def materialize_reuse(spark, folder):
-    key = fingerprint(spark, [f"{folder}/documents.parquet"], {"columns": 3})
+    application = spark.sparkContext.applicationId
+    key = fingerprint(spark, [f"{folder}/documents.parquet"], {"by": application})
 
     def build():
         return given.table(spark, folder, "documents").select(

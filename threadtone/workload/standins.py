@@ -117,9 +117,16 @@ def sentiment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, folder: str) -> tuple[Bundle, DataFrame]:
-    """Models and their metrics, trained on first use and stored."""
+    """Models and their metrics, trained on first use and stored for the session.
+
+    Keyed by the application too: a later run, of newer code perhaps, trains anew.
+    """
     paths = [f"{folder}/documents.parquet", f"{folder}/labels.parquet"]
-    params = {"targets": [repr(t) for t in TARGETS], "seed": SEED, "form": 1}
+    params = {
+        "targets": [repr(t) for t in TARGETS],
+        "seed": SEED,
+        "application": spark.sparkContext.applicationId,
+    }
     home = f"{shared_folder(spark)}/models-{fingerprint(spark, paths, params)}"
     fs, done = file_system(spark, f"{home}/metrics/_SUCCESS")
     if not fs.exists(done):
