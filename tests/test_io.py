@@ -129,6 +129,6 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
 def test_spread_leaves_well_split_scans_alone(spark, testdata):
     wide = spark.range(0, 1000, 1, 8)
-    assert readers.spread(wide, "id") is wide
+    assert readers.spread(wide) is wide
     documents = spark.read.parquet(f"{testdata}/documents.parquet")
-    assert readers.spread(documents, "doc_id").rdd.getNumPartitions() == 12
+    assert readers.spread(documents).rdd.getNumPartitions() == 12

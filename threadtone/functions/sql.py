@@ -28,7 +28,7 @@ def _parsed_sql(body: str) -> str:
 
 def _ngrams_sql(parsed: str, pattern: str) -> str:
     found = f"regexp_extract_all({parsed}, {_raw(pattern)}, 1)"
-    return rf"split(translate(array_join({found}, '\n'), ' \n', '_ '), ' ')"
+    return rf"split(replace(array_join({found}, '\n'), ' ', '_'), '\n')"
 
 
 def register_functions(spark: SparkSession, states: Sequence[str] = STATES) -> None:

@@ -114,26 +114,30 @@ def unigrams(parsed_text: Column) -> Column:
     return F.rtrim(F.regexp_replace(parsed_text, PHRASE_END_TOKEN, ""))
 
 
-def _ngrams(parsed_text: Column, pattern: str) -> Column:
-    # A parsed text holds no line feed, so it can stand between the n-grams until
-    # the spaces inside them have turned into underscores.
+def _ngram_lines(parsed_text: Column, pattern: str) -> Column:
+    # One n-gram per line.  A parsed text holds no line feed, so it can stand
+    # between the n-grams while the spaces inside them turn into underscores.
     found = F.regexp_extract_all(parsed_text, F.lit(pattern), F.lit(1))
-    return F.translate(F.array_join(found, "\n"), " \n", "_ ")
+    return F.replace(F.array_join(found, "\n"), F.lit(" "), F.lit("_"))
 
 
 def bigrams(parsed_text: Column) -> Column:
     """Neighbouring words of one phrase as ``a_b``, space-joined."""
-    return _ngrams(parsed_text, BIGRAM)
+    return F.replace(_ngram_lines(parsed_text, BIGRAM), F.lit("\n"), F.lit(" "))
 
 
 def trigrams(parsed_text: Column) -> Column:
     """Three words in a row of one phrase as ``a_b_c``, space-joined."""
-    return _ngrams(parsed_text, TRIGRAM)
+    return F.replace(_ngram_lines(parsed_text, TRIGRAM), F.lit("\n"), F.lit(" "))
 
 
-def gram_list(uni: Column, bi: Column, tri: Column) -> Column:
+def gram_list(parsed_text: Column) -> Column:
     """All n-grams as one array.  A kind without any gives one empty string."""
-    return F.concat(F.split(uni, " "), F.split(bi, " "), F.split(tri, " "))
+    return F.concat(
+        F.split(unigrams(parsed_text), " "),
+        F.split(_ngram_lines(parsed_text, BIGRAM), "\n"),
+        F.split(_ngram_lines(parsed_text, TRIGRAM), "\n"),
+    )
 
 
 def with_parsed(df: DataFrame, body: str = "body") -> DataFrame:
@@ -146,15 +150,13 @@ def with_parsed(df: DataFrame, body: str = "body") -> DataFrame:
 
 def with_grams(df: DataFrame, body: str = "body", output: str = "grams") -> DataFrame:
     """Replace ``body`` by its gram list, the input of the bag of words."""
-    p = F.col("__parsed")
     return (
         _with_parsed_only(df, body, "__parsed")
-        .withColumn(output, gram_list(unigrams(p), bigrams(p), trigrams(p)))
+        .withColumn(output, gram_list(F.col("__parsed")))
         .drop("__parsed", body)
     )
 
 
 def grams(body: Column) -> Column:
     """Gram list of a body as a single expression."""
-    p = parsed(body)
-    return gram_list(unigrams(p), bigrams(p), trigrams(p))
+    return gram_list(parsed(body))

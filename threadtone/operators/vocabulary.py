@@ -72,9 +72,10 @@ def fit_vocabulary(
     """
     stats = term_statistics(df, grams, min_df).persist()
     try:
-        if stats.isEmpty():
+        found = stats.count()
+        if not found:
             raise ValueError(f"no term occurs in {min_df} texts")
-        chosen = stats if stats.count() <= size else most_frequent(stats, size)
+        chosen = stats if found <= size else most_frequent(stats, size)
         rows = (
             chosen.select("term")
             .repartition(1)

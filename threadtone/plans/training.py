@@ -34,7 +34,6 @@ from threadtone.operators.classifier import (
 from threadtone.operators.joins import labelled_comments
 from threadtone.operators.vocabulary import fit_vocabulary
 from threadtone.session import fresh_path
-from threadtone.sources.readers import spread
 from threadtone.sources.writers import write_then_read
 
 # Each pass over the data costs every partition a gradient as long as the
@@ -61,13 +60,14 @@ def labelled_grams(
 ) -> DataFrame:
     """``Input_id``, the binary labels and the gram list of each labelled comment.
 
-    Stored once and read back: the vocabulary and every model start from it.  The
-    rebalanced files make partitions of a useful size for the many passes.
+    The joined rows are rebalanced before the text steps, since what the join
+    leaves of the comments may be little and unevenly spread.  The result is stored
+    once and read back: the vocabulary and every model start from it.
     """
     raw = labelled_comments(labeled, comments, [t.label for t in targets])
-    ready = with_grams(with_binary_labels(raw, targets)).select(
+    ready = with_grams(with_binary_labels(raw.hint("rebalance"), targets)).select(
         "Input_id", *label_columns(targets), "grams"
-    ).hint("rebalance")
+    )
     return write_then_read(ready, fresh_path(comments.sparkSession, "labelled-grams"))
 
 
@@ -149,10 +149,9 @@ def train(
     names = label_columns(targets)
     features = vocabulary.transform(grams).select("Input_id", *names, "vectorized")
     partitions = max(1, ceil(grams.count() / ROWS_PER_PARTITION))
-    # By id and in its order, so that the random folds are the same every time.
-    features = features.repartition(partitions, "Input_id").sortWithinPartitions(
-        "Input_id"
-    )
+    # Rows are dealt out in turn, so copies of one comment cannot fill a partition,
+    # and ordered, so the random folds repeat.
+    features = features.repartition(partitions).sortWithinPartitions("Input_id")
     slots = comments.sparkSession.sparkContext.defaultParallelism
     folds_at_a_time = max(1, min(folds, slots // partitions))
     rest = 1.0 - TRAIN_FRACTION
@@ -178,7 +177,3 @@ def train(
         {name: auc for name, _, auc in fits if auc is not None},
     )
 
-
-def spread_comments(comments: DataFrame) -> DataFrame:
-    """Comments laid out for the text steps; large tables stay as they are."""
-    return spread(comments, "id")

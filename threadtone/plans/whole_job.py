@@ -10,12 +10,13 @@ from threadtone.constants import SAMPLE_FRACTION, STATES
 from threadtone.operators.classifier import TARGETS, Target
 from threadtone.plans.publishing import publish
 from threadtone.plans.scoring import sentiment, unseen_comments
-from threadtone.plans.training import Bundle, spread_comments, train
+from threadtone.plans.training import Bundle, train
 from threadtone.sources.materialize import fingerprint, materialize
 from threadtone.sources.readers import (
     read_comments,
     read_labeled,
     read_submissions,
+    spread,
 )
 
 
@@ -47,7 +48,6 @@ def run(
     submissions_key, submissions_df = stored(
         "submissions", submissions, read_submissions
     )
-    comments_df = spread_comments(comments_df)
 
     if model_folder:
         bundle = Bundle.load(model_folder, targets)
@@ -67,7 +67,7 @@ def run(
         spark,
         "sentiment",
         lambda: sentiment(
-            unseen_comments(comments_df, fraction, seed), submissions_df, bundle
+            unseen_comments(spread(comments_df), fraction, seed), submissions_df, bundle
         ),
         fingerprint(spark, [], params),
     )

@@ -43,14 +43,14 @@ def read_bodies(spark: SparkSession, path: str) -> DataFrame:
     return read_json(spark, path, schemas.BODIES)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give a scan with too few splits for the cluster one task per slot and more.
 
     Meant for the costly text steps over a small or badly split file.  A scan that
     already has two splits per slot, which any large table has, is left as it is:
-    no shuffle.
+    no shuffle.  Rows are dealt out in turn, so no id can fill one task.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= 2 * slots:
         return df
-    return df.repartition(3 * slots, key)
+    return df.repartition(3 * slots)

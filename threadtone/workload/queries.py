@@ -219,27 +219,27 @@ def random_split(spark, folder):
 
 @_register
 def text_parsed(spark, folder):
-    return text.with_parsed(given.bodies(spark, folder)).select("id", "parsed")
+    return text.with_parsed(given.spread_bodies(spark, folder)).select("id", "parsed")
 
 
 @_register
 def text_unigrams(spark, folder):
-    return text.with_parsed(given.bodies(spark, folder)).select("id", "unigrams")
+    return text.with_parsed(given.spread_bodies(spark, folder)).select("id", "unigrams")
 
 
 @_register
 def text_bigrams(spark, folder):
-    return text.with_parsed(given.bodies(spark, folder)).select("id", "bigrams")
+    return text.with_parsed(given.spread_bodies(spark, folder)).select("id", "bigrams")
 
 
 @_register
 def text_trigrams(spark, folder):
-    return text.with_parsed(given.bodies(spark, folder)).select("id", "trigrams")
+    return text.with_parsed(given.spread_bodies(spark, folder)).select("id", "trigrams")
 
 
 @_register
 def text_grams(spark, folder):
-    return text.with_grams(given.bodies(spark, folder)).select(
+    return text.with_grams(given.spread_bodies(spark, folder)).select(
         "id", F.array_join("grams", " ").alias("grams")
     )
 
@@ -275,7 +275,7 @@ def _labelled_grams(spark, folder):
     joined = labelled_comments(
         given.labeled(spark, folder), given.bodies(spark, folder), []
     )
-    return text.with_grams(joined)
+    return text.with_grams(joined.hint("rebalance"))
 
 
 @_register
@@ -291,7 +291,7 @@ def vocab_most_frequent(spark, folder):
 @_register
 def vector_vocabulary_terms(spark, folder):
     model = fit_vocabulary(_labelled_grams(spark, folder))
-    vectors = model.transform(text.with_grams(given.bodies(spark, folder)))
+    vectors = model.transform(text.with_grams(given.spread_bodies(spark, folder)))
     return vector_terms(vectors, model, ["id"])
 
 
@@ -490,7 +490,7 @@ def model_holdout_auc(spark, folder):
 def _model_flags(spark, folder):
     bundle, _ = given.trained(spark, folder)
     unseen = scoring.unseen_comments(
-        given.bodies(spark, folder), SAMPLE_FRACTION, given.SEED
+        given.spread_bodies(spark, folder), SAMPLE_FRACTION, given.SEED
     )
     return scoring.flags(scoring.score(unseen, bundle), bundle)
 

@@ -47,11 +47,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def bodies(spark: SparkSession, folder: str) -> DataFrame:
-    """``id, body`` of all documents, laid out for the text steps."""
-    documents = table(spark, folder, "documents").select(
+    """``id, body`` of all documents."""
+    return table(spark, folder, "documents").select(
         F.col("doc_id").alias("id"), F.col("text").alias("body")
     )
-    return spread(documents, "id")
+
+
+def spread_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, laid out for the text steps."""
+    return spread(bodies(spark, folder))
 
 
 def page_posts(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +67,7 @@ def page_posts(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(" now... "), "html", F.lit(" via"), "url",
         ).alias("body"),
     )
-    return spread(pages, "id")
+    return spread(pages)
 
 
 def metadata(spark: SparkSession, folder: str) -> DataFrame:
