@@ -479,16 +479,16 @@ def stored_outputs_join(spark, folder):
 
 @_register
 def model_cv_auc(spark, folder):
-    return given.trained(spark, folder)[1].select("target", "flag", "cv_auc")
+    return given.metrics(spark, folder).select("target", "flag", "cv_auc")
 
 
 @_register
 def model_holdout_auc(spark, folder):
-    return given.trained(spark, folder)[1].select("target", "flag", "holdout_auc")
+    return given.metrics(spark, folder).select("target", "flag", "holdout_auc")
 
 
 def _model_flags(spark, folder):
-    bundle, _ = given.trained(spark, folder)
+    bundle = given.bundle(spark, folder)
     unseen = scoring.unseen_comments(
         given.spread_bodies(spark, folder), SAMPLE_FRACTION, given.SEED
     )

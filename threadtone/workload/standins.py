@@ -25,7 +25,7 @@ from threadtone.session import shared_folder
 from threadtone.sources.filesystem import file_system
 from threadtone.sources.materialize import fingerprint
 from threadtone.sources.readers import read_table, spread
-from threadtone.sources.writers import write_then_read
+from threadtone.sources.writers import write_table
 
 TARGETS = (
     Target("balance", "label_balance"),
@@ -120,8 +120,8 @@ def sentiment(spark: SparkSession, folder: str) -> DataFrame:
     return with_flags(sightings(spark, folder), label_flags(spark, folder))
 
 
-def trained(spark: SparkSession, folder: str) -> tuple[Bundle, DataFrame]:
-    """Models and their metrics, trained on first use and stored for the session.
+def trained(spark: SparkSession, folder: str) -> str:
+    """Folder of the models and their metrics, trained on first use.
 
     Keyed by the application too: a later run, of newer code perhaps, trains anew.
     """
@@ -142,5 +142,13 @@ def trained(spark: SparkSession, folder: str) -> tuple[Bundle, DataFrame]:
             min_df=MIN_DOCUMENT_FREQUENCY,
         )
         outcome.bundle.save(home)
-        write_then_read(outcome.metrics(spark), f"{home}/metrics")
-    return Bundle.load(home, TARGETS), spark.read.parquet(f"{home}/metrics")
+        write_table(outcome.metrics(spark), f"{home}/metrics")
+    return home
+
+
+def metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{trained(spark, folder)}/metrics")
+
+
+def bundle(spark: SparkSession, folder: str) -> Bundle:
+    return Bundle.load(trained(spark, folder), TARGETS)
