@@ -127,3 +127,14 @@ def test_sql_functions(spark):
         "CASE WHEN getProbability(array(0.8D, 0.2D)) > 0.2 THEN 1 ELSE 0 END AS f"
     ).first()
     assert tuple(row) == ("xyz", None, 1, 0, 0, 1)
+
+
+def test_sql_state_filter_becomes_a_plain_expression(spark, tmp_path):
+    register_functions(spark, ["Ohio", "Utah"])
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("Ohio",), ("Iowa",)], "state string").write.parquet(path)
+    spark.read.parquet(path).createOrReplaceTempView("some_states")
+    df = spark.sql("SELECT state FROM some_states WHERE validstate(state) = 1")
+    assert [r.state for r in df.collect()] == ["Ohio"]
+    assert "IN (Ohio,Utah)" in plan_of(df) and "Python" not in plan_of(df)
+    register_functions(spark)

@@ -156,6 +156,8 @@ def read_rows(path):
 def test_run_publishes_twelve_files_and_reuses_its_tables(spark, inputs, tmp_path):
     args = (inputs["labeled"], inputs["comments"], inputs["submissions"])
     out = str(tmp_path / "out")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    known = set(glob.glob(f"{shared}/models-*"))
     written = run(spark, *args, out, fraction=0.5, seed=3)
     assert sorted(os.path.basename(p) for p in written) == sorted(
         f"{prefix}{file}.csv"
@@ -172,7 +174,7 @@ def test_run_publishes_twelve_files_and_reuses_its_tables(spark, inputs, tmp_pat
     days = [r[0] for r in read_rows(f"{out}/time_data.csv")[1:]]
     assert days == sorted(days) and days[0] >= "2017-11-07"
 
-    shared = spark.conf.get("spark.checkpoint.dir")
+    (models,) = set(glob.glob(f"{shared}/models-*")) - known
     tables = {d: os.path.getmtime(f"{d}/_SUCCESS") for d in glob.glob(f"{shared}/sentiment-*")}
     before = {os.path.basename(p): read_rows(p) for p in written}
     again = run(spark, *args, str(tmp_path / "again"), fraction=0.5, seed=3)
@@ -183,7 +185,6 @@ def test_run_publishes_twelve_files_and_reuses_its_tables(spark, inputs, tmp_pat
 
     # Stored models give the same files without training.
     loaded = run(
-        spark, *args, str(tmp_path / "loaded"), fraction=0.5, seed=3,
-        model_folder=f"{out}/models",
+        spark, *args, str(tmp_path / "loaded"), fraction=0.5, seed=3, model_folder=models
     )
     assert {os.path.basename(p): read_rows(p) for p in loaded} == before

@@ -14,10 +14,8 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="threadtone")
     commands = parser.add_subparsers(dest="command", required=True)
     job = commands.add_parser("run", help="train, score and publish")
-    job.add_argument("--labeled", default="labeled_data.csv")
-    job.add_argument("--comments", default="comments-minimal.json.bz2")
-    job.add_argument("--submissions", default="submissions.json.bz2")
-    job.add_argument("--output", required=True)
+    for name in ("--labeled", "--comments", "--submissions", "--output"):
+        job.add_argument(name, required=True)
     job.add_argument("--models", help="folder of stored models; skips training")
     job.add_argument("--seed", type=int, default=0)
     clean = commands.add_parser("clean", help="clean the bodies of a JSON-lines file")

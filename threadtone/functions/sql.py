@@ -1,7 +1,7 @@
 """The same functions for SQL text, as temporary SQL functions.
 
 They are SQL expressions that the optimizer inlines, so a query that calls them
-runs without a Python worker and filters through them stay visible to the scan.
+runs without a Python worker.
 """
 
 from __future__ import annotations

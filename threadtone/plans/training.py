@@ -34,7 +34,8 @@ from threadtone.operators.classifier import (
 from threadtone.operators.joins import labelled_comments
 from threadtone.operators.vocabulary import fit_vocabulary
 from threadtone.session import fresh_path
-from threadtone.sources.writers import write_then_read
+from threadtone.sources.filesystem import file_system
+from threadtone.sources.writers import write_table, write_then_read
 
 # Each pass over the data costs every partition a gradient as long as the
 # vocabulary, so a partition should hold rows enough to be worth one.
@@ -177,3 +178,18 @@ def train(
         {name: auc for name, _, auc in fits if auc is not None},
     )
 
+
+def train_once(
+    home: str, labeled: DataFrame, comments: DataFrame, targets: Sequence[Target], seed: int
+) -> str:
+    """Models and metrics below ``home``, trained unless they are there already.
+
+    The metrics are written last, so their marker vouches for the models.
+    """
+    spark = comments.sparkSession
+    fs, done = file_system(spark, f"{home}/metrics/_SUCCESS")
+    if not fs.exists(done):
+        outcome = train(labeled, comments, targets, seed)
+        outcome.bundle.save(home)
+        write_table(outcome.metrics(spark), f"{home}/metrics")
+    return home

@@ -10,7 +10,8 @@ from threadtone.constants import SAMPLE_FRACTION, STATES
 from threadtone.operators.classifier import TARGETS, Target
 from threadtone.plans.publishing import publish
 from threadtone.plans.scoring import sentiment, unseen_comments
-from threadtone.plans.training import Bundle, train
+from threadtone.plans.training import Bundle, train_once
+from threadtone.session import shared_folder
 from threadtone.sources.materialize import fingerprint, materialize
 from threadtone.sources.readers import (
     read_comments,
@@ -34,9 +35,9 @@ def run(
 ) -> list[str]:
     """Train or load the models, score a sample, write the CSV files.
 
-    The inputs are kept as Parquet in the shared folder, as is the flag table,
-    under fingerprints of the files and parameters they were made from.  With
-    ``model_folder`` naming stored models nothing is trained.
+    The inputs are kept as Parquet in the shared folder, as are the models and the
+    flag table, all under fingerprints of the files and parameters they were made
+    from.  With ``model_folder`` naming stored models nothing is trained.
     """
 
     def stored(name: str, path: str, read) -> tuple:
@@ -49,17 +50,19 @@ def run(
         "submissions", submissions, read_submissions
     )
 
+    names = [repr(t) for t in targets]
     if model_folder:
-        bundle = Bundle.load(model_folder, targets)
-        models_key = fingerprint(spark, [model_folder], {})
+        models_key = fingerprint(spark, [model_folder], {"targets": names})
     else:
-        bundle = train(labeled_df, comments_df, targets, seed).bundle
-        bundle.save(f"{output}/models")
-        models_key = f"{labeled_key}-{seed}"
+        made_from = {"inputs": [labeled_key, comments_key], "targets": names, "seed": seed}
+        models_key = fingerprint(spark, [], made_from)
+        model_folder = f"{shared_folder(spark)}/models-{models_key}"
+        train_once(model_folder, labeled_df, comments_df, targets, seed)
+    bundle = Bundle.load(model_folder, targets)
 
     params = {
         "inputs": [comments_key, submissions_key, models_key],
-        "targets": [repr(t) for t in targets],
+        "targets": names,
         "fraction": fraction,
         "seed": seed,
     }

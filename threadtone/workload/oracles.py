@@ -268,3 +268,5 @@ ORACLES: dict[str, str] = {
     "stored_outputs_join": "SELECT event_id AS id, value AS pos_prob, user_id AS neg_prob "
     "FROM events",
 }
+ORACLES["sql_share_by_day"] = ORACLES["share_by_day"]
+ORACLES["sql_share_by_state"] = ORACLES["share_by_state"]

@@ -268,6 +268,40 @@ def sql_functions(spark, folder):
     )
 
 
+def _sql_views(spark, folder):
+    register_functions(spark, given.PLACES)
+    given.metadata(spark, folder).createOrReplaceTempView("tt_comments")
+    given.submissions(spark, folder).createOrReplaceTempView("tt_submissions")
+    given.label_flags(spark, folder).createOrReplaceTempView("tt_flags")
+
+
+_SQL_SENTIMENT = (
+    "WITH sentiment AS (SELECT c.created_utc AS seen, c.author_flair_text AS state, "
+    "f.balance_pos AS pos, f.balance_neg AS neg FROM tt_comments c "
+    "JOIN tt_submissions s ON cutoff(c.link_id) = s.id JOIN tt_flags f ON f.id = c.id) "
+)
+
+
+@_register
+def sql_share_by_day(spark, folder):
+    _sql_views(spark, folder)
+    return spark.sql(
+        _SQL_SENTIMENT + "SELECT string(date(from_unixtime(seen))) AS date, "
+        "sum(pos) / count(*) AS pos_avg_day, sum(neg) / count(*) AS neg_avg_day "
+        "FROM sentiment GROUP BY date"
+    )
+
+
+@_register
+def sql_share_by_state(spark, folder):
+    _sql_views(spark, folder)
+    return spark.sql(
+        _SQL_SENTIMENT + "SELECT state, sum(pos) / count(*) AS Positive, "
+        "sum(neg) / count(*) AS Negative FROM sentiment "
+        "WHERE validstate(state) = 1 GROUP BY state"
+    )
+
+
 # --- vocabulary --------------------------------------------------------------
 
 

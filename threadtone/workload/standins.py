@@ -12,20 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadtone.constants import MIN_DOCUMENT_FREQUENCY
 from threadtone.operators.classifier import Target
 from threadtone.operators.joins import with_flags, with_submissions
 from threadtone.plans.training import (
     Bundle,
     label_columns,
-    train,
+    train_once,
     with_binary_labels,
 )
 from threadtone.session import shared_folder
-from threadtone.sources.filesystem import file_system
 from threadtone.sources.materialize import fingerprint
 from threadtone.sources.readers import read_table, spread
-from threadtone.sources.writers import write_table
 
 TARGETS = (
     Target("balance", "label_balance"),
@@ -132,18 +129,7 @@ def trained(spark: SparkSession, folder: str) -> str:
         "application": spark.sparkContext.applicationId,
     }
     home = f"{shared_folder(spark)}/models-{fingerprint(spark, paths, params)}"
-    fs, done = file_system(spark, f"{home}/metrics/_SUCCESS")
-    if not fs.exists(done):
-        outcome = train(
-            labeled(spark, folder),
-            bodies(spark, folder),
-            TARGETS,
-            SEED,
-            min_df=MIN_DOCUMENT_FREQUENCY,
-        )
-        outcome.bundle.save(home)
-        write_table(outcome.metrics(spark), f"{home}/metrics")
-    return home
+    return train_once(home, labeled(spark, folder), bodies(spark, folder), TARGETS, SEED)
 
 
 def metrics(spark: SparkSession, folder: str) -> DataFrame:
