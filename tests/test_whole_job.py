@@ -10,6 +10,7 @@ from tests.test_io import write_lines
 from threadtone.operators.classifier import TARGETS, Target, add_probability
 from threadtone.plans import scoring
 from threadtone.plans.training import Bundle, train
+from threadtone.plans.reporting import report_tables, write_reports
 from threadtone.plans.whole_job import run
 from threadtone.sources import readers
 
@@ -175,13 +176,24 @@ def test_run_publishes_twelve_files_and_reuses_its_tables(spark, inputs, tmp_pat
     assert days == sorted(days) and days[0] >= "2017-11-07"
 
     (models,) = set(glob.glob(f"{shared}/models-*")) - known
-    tables = {d: os.path.getmtime(f"{d}/_SUCCESS") for d in glob.glob(f"{shared}/sentiment-*")}
+    stored = {d: os.path.getmtime(f"{d}/_SUCCESS") for d in glob.glob(f"{shared}/sentiment-*")}
     before = {os.path.basename(p): read_rows(p) for p in written}
     again = run(spark, *args, str(tmp_path / "again"), fraction=0.5, seed=3)
     assert {os.path.basename(p): read_rows(p) for p in again} == before
     assert {
         d: os.path.getmtime(f"{d}/_SUCCESS") for d in glob.glob(f"{shared}/sentiment-*")
-    } == tables
+    } == stored
+
+    # The report tables come from the published files.
+    with pytest.raises(Exception, match="no fact for"):
+        report_tables(spark, out, "dem_")["positive_scale"].collect()
+    tables = report_tables(spark, out, "dem_", ["Ohio", "Utah"])
+    paths = write_reports(tables, str(tmp_path / "reports"), "dem_")
+    rows = {os.path.basename(p): read_rows(p) for p in paths}
+    assert rows["dem_positive_scale.csv"][0] == ["state", "Positive", "lo", "hi", "scale"]
+    assert [r[0] for r in rows["dem_difference_scale.csv"][1:]] == ["Ohio", "Utah"]
+    assert rows["dem_time_series.csv"] == before["dem_time_data.csv"]
+    assert rows["dem_comment_curve.csv"] == before["dem_comment_score.csv"]
 
     # Stored models give the same files without training.
     loaded = run(

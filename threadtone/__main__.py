@@ -1,10 +1,11 @@
-"""Command line: ``python -m threadtone run|clean`` (or through spark-submit)."""
+"""Command line: ``python -m threadtone run|report|clean`` (or through spark-submit)."""
 
 from __future__ import annotations
 
 import argparse
 
 from threadtone.plans.cleaning import clean_bodies
+from threadtone.plans.reporting import report_tables, write_reports
 from threadtone.plans.whole_job import run
 from threadtone.session import build_session
 from threadtone.sources.writers import write_table
@@ -18,6 +19,11 @@ def main() -> None:
         job.add_argument(name, required=True)
     job.add_argument("--models", help="folder of stored models; skips training")
     job.add_argument("--seed", type=int, default=0)
+    reports = commands.add_parser("report", help="report tables of published files")
+    reports.add_argument("folder", help="the output folder of run")
+    reports.add_argument("--output", required=True)
+    reports.add_argument("--prefix", default="", help="of the target's files, as dem_")
+    reports.add_argument("--missing", choices=("error", "null"), default="error")
     clean = commands.add_parser("clean", help="clean the bodies of a JSON-lines file")
     clean.add_argument("file")
     clean.add_argument("--output", required=True)
@@ -34,6 +40,9 @@ def main() -> None:
             seed=args.seed,
             model_folder=args.models,
         )
+    elif args.command == "report":
+        tables = report_tables(spark, args.folder, args.prefix, missing=args.missing)
+        write_reports(tables, args.output, args.prefix)
     else:
         write_table(clean_bodies(spark, args.file), args.output)
     spark.stop()
