@@ -10,7 +10,12 @@ from threadtone.plans.cleaning import clean_bodies
 from threadtone.session import shared_folder
 from threadtone.sources import readers
 from threadtone.sources.materialize import fingerprint, materialize
-from threadtone.sources.writers import write_csv_file, write_csv_folder, write_then_read
+from threadtone.sources.writers import (
+    write_csv_file,
+    write_csv_files,
+    write_csv_folder,
+    write_then_read,
+)
 
 
 def write_lines(path, rows):
@@ -65,6 +70,19 @@ def test_csv_file_has_its_name_a_header_and_sorted_rows(spark, tmp_path):
     assert [f for f in os.listdir(tmp_path) if not f.startswith(".")] == ["time_data.csv"]
 
 
+def test_csv_files_by_value(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("b", 2, 0.2), ("a", 3, 0.3), ("a", 1, 0.1), ("z", 9, 0.9)], "t string, k int, v double"
+    ).repartition(3)
+    paths = {t: str(tmp_path / f"{t}_x.csv") for t in ("a", "b", "none")}
+    for _ in range(2):
+        write_csv_files(df, "t", paths, ["k"])
+    assert open(paths["a"]).read() == "k,v\n1,0.1\n3,0.3\n"
+    assert open(paths["b"]).read() == "k,v\n2,0.2\n"
+    assert open(paths["none"]).read() == "k,v\n"
+    assert len([f for f in os.listdir(tmp_path) if not f.startswith(".")]) == 3
+
+
 def test_empty_csv_file_keeps_its_header(spark, tmp_path):
     path = str(tmp_path / "empty.csv")
     write_csv_file(spark.createDataFrame([], "k int, v double"), path, ["k"])

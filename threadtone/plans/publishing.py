@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from threadtone.constants import STATES
 from threadtone.functions.scalars import in_states, local_date
 from threadtone.operators.share import share_by_target
-from threadtone.session import fresh_path
-from threadtone.sources.writers import write_csv_file, write_then_read
+from threadtone.sources.writers import write_csv_files
 
 
 def share_tables(
@@ -59,21 +58,22 @@ def publish(
 ) -> list[str]:
     """Write the four CSV files of each target; returns their paths.
 
-    File names carry the target as prefix, except those of ``unprefixed``.  Each
-    table is aggregated once for all targets and stored; the files are cut from
-    the stored copy.
+    File names carry the target as prefix, except those of ``unprefixed``.  The
+    files of one table come from one job over one aggregation for all targets.
     """
     written = []
     tables = share_tables(sentiment, targets, states)
     for table, (file, key, positive, negative) in FILES.items():
-        spot = fresh_path(sentiment.sparkSession, f"share-{table}")
-        stored = write_then_read(tables[table], spot)
-        for target in targets:
-            prefix = "" if target == unprefixed else f"{target}_"
-            path = f"{folder}/{prefix}{file}"
-            rows = stored.where(F.col("target") == target).select(
-                key, F.col("Positive").alias(positive), F.col("Negative").alias(negative)
-            )
-            write_csv_file(rows, path, [key])
-            written.append(path)
+        paths = {
+            t: f"{folder}/{file}" if t == unprefixed else f"{folder}/{t}_{file}"
+            for t in targets
+        }
+        rows = tables[table].select(
+            "target",
+            key,
+            F.col("Positive").alias(positive),
+            F.col("Negative").alias(negative),
+        )
+        write_csv_files(rows, "target", paths, [key])
+        written.extend(paths.values())
     return written

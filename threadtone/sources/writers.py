@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from threadtone.sources.filesystem import file_system
 
@@ -40,13 +41,45 @@ def write_csv_file(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     folder = f"{path}.{uuid4().hex}"
     write_csv_folder(df, folder, keys)
     spark = df.sparkSession
-    fs, target = file_system(spark, path)
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    parts = fs.globStatus(jvm_path(f"{folder}/part-*.csv"))
+    if not _move_part(spark, folder, path):
+        raise RuntimeError(f"expected one part file in {folder}")
+    _remove(spark, folder)
+
+
+def write_csv_files(
+    df: DataFrame, by: str, paths: Mapping[str, str], keys: Sequence[str]
+) -> None:
+    """One CSV file per value of ``by``, without that column, from a single job."""
+    folder = f"{next(iter(paths.values()))}.{uuid4().hex}"
+    (
+        df.where(F.col(by).isin(*paths))
+        .repartition(1)
+        .sortWithinPartitions(by, *keys)
+        .write.mode("overwrite")
+        .partitionBy(by)
+        .option("header", True)
+        .csv(folder)
+    )
+    spark = df.sparkSession
+    for value, path in paths.items():
+        if not _move_part(spark, f"{folder}/{by}={value}", path):
+            # A value without rows has no part; its file holds the header alone.
+            write_csv_file(df.where(F.col(by) == value).drop(by), path, keys)
+    _remove(spark, folder)
+
+
+def _move_part(spark: SparkSession, folder: str, path: str) -> bool:
+    fs, pattern = file_system(spark, f"{folder}/part-*.csv")
+    parts = fs.globStatus(pattern) or []
     if len(parts) != 1:
-        raise RuntimeError(f"expected one part file in {folder}, found {len(parts)}")
+        return False
+    _, target = file_system(spark, path)
     fs.delete(target, False)
     if not fs.rename(parts[0].getPath(), target):
         raise RuntimeError(f"could not move {parts[0].getPath()} to {path}")
-    fs.delete(jvm_path(folder), True)
+    return True
+
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    fs, target = file_system(spark, folder)
+    fs.delete(target, True)
