@@ -51,13 +51,13 @@ def ascii_lower(text: Column) -> Column:
 def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose key is not in the one column of ``dropped``."""
     gone = dropped.toDF("__gone").distinct()
-    return docs.join(gone, docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+    return docs.join(gone.hint("merge"), docs[key].eqNullSafe(gone["__gone"]), "left_anti")
 
 
 def only(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose key is in the one column of ``kept``."""
     wanted = kept.toDF("__kept").distinct()
-    return docs.join(wanted, docs[key].eqNullSafe(wanted["__kept"]), "left_semi")
+    return docs.join(wanted.hint("merge"), docs[key].eqNullSafe(wanted["__kept"]), "left_semi")
 
 
 def files(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:

@@ -7,9 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
 from threadtone.llm.common import table
 from threadtone.llm.decontaminate import contamination
 from threadtone.llm.exact_dedup import exact_dedup
+from threadtone.llm.simhash import near_duplicates
+from threadtone.llm.token_files import read_back, write_token_files
+from threadtone.session import fresh_path
+
+
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every document's ids are, and their checksum, read back from the files."""
+    docs = table(spark, folder, "documents")
+    target = fresh_path(spark, "token-files")
+    write_token_files(docs, target, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_back(docs, target)
+
+
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = near_duplicates(table(spark, folder, "documents"))
+    text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,6 +50,8 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_files": op3_token_files,
+    "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }
