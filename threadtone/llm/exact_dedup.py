@@ -52,7 +52,7 @@ def exact_dedup(
     )
     # A text goes on only where there is something to compare it with.
     placed = stored(
-        rows.join(groups, "h", "left").select(
+        rows.join(groups.hint("merge"), "h", "left").select(
             "id", "n", "h", "size", "best_id", "best_n",
             F.sha2("norm", 256).alias("sha"),
             F.when(F.col("size").isNotNull(), F.col("norm")).alias("norm"),
@@ -69,7 +69,7 @@ def exact_dedup(
     )
     same = F.col("norm") == F.col("best_norm")
     compared = stored(
-        member.join(texts, "h").select(
+        member.join(texts.hint("merge"), "h").select(
             "id", "n", "h", "size", "best_id", "sha", same.alias("same"),
             F.when(~same, F.col("norm")).alias("other"),
         ),
