@@ -4,18 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
 from threadtone.llm.common import table
 from threadtone.llm.decontaminate import contamination
 from threadtone.llm.exact_dedup import exact_dedup
+from threadtone.llm.mixing import mix
 from threadtone.llm.simhash import near_duplicates
+from threadtone.llm.substring_dedup import without_repeats
 from threadtone.llm.token_files import read_back, write_token_files
 from threadtone.session import fresh_path
 
 
+#: The tree of the corpus: which sources make up a domain, and the target weights.
+DOMAINS = {
+    "web": [f"src{i}" for i in range(10)],
+    "books": [f"src{i}" for i in range(10, 15)],
+    "forum": [f"src{i}" for i in range(15, 20)],
+}
+WEIGHTS = {"web": 5, "books": 3, "forum": 2, "web/en": 6, "web/fr": 2, "web/de": 2}
+WEIGHTS |= {"books/en": 4, "forum/en": 4, "web/en/src0": 3}
+
+
+def domain_of(source: str) -> Column:
+    """The domain a source belongs to; ``other`` for those of none."""
+    found = F.lit("other")
+    for domain, sources in DOMAINS.items():
+        found = F.when(F.col(source).isin(sources), F.lit(domain)).otherwise(found)
+    return found
+
+
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the sentences that occur before, and where those were."""
+    cleaned = without_repeats(table(spark, folder, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["stop"]))
+    return cleaned.select(
+        "doc_id",
+        "n_units",
+        F.size("removed").cast("long").alias("n_removed"),
+        F.array_join(spans, ",").alias("removed"),
+        "text",
+    )
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Where every document's ids are, and their checksum, read back from the files."""
     docs = table(spark, folder, "documents")
@@ -31,6 +64,20 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", text.alias("fingerprint"), "component_id")
 
 
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents and epochs that a mix of half the corpus takes."""
+    docs = table(spark, folder, "documents")
+    mixed = mix(docs, domain_of("source"), F.col("lang"), F.col("source"), WEIGHTS)
+    return mixed.select(
+        "doc_id",
+        F.col("mix_domain").alias("domain"),
+        "lang",
+        "source",
+        F.col("mix_tokens").alias("tokens"),
+        F.col("mix_epoch").alias("epoch"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of benchmark passages in every document."""
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -50,8 +97,10 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
     "op6_simhash": op6_simhash,
+    "op7_mixing": op7_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }

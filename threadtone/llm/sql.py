@@ -1,12 +1,104 @@
 """SQL with the same results as the queries, where SQL can express them."""
 
+from threadtone.llm.queries import DOMAINS, WEIGHTS
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _WORDS = (
     rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),"
     r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+def _filled(children: str, parent: str, name: str) -> str:
+    """Shares of a table's rows: SQL of the level that children of a node fill up to."""
+    window = f"PARTITION BY {parent} ORDER BY weight <= 0, cap / nullif(weight, 0), {name}"
+    return f"""
+SELECT *, CASE WHEN weight > 0
+  THEN least(cap, CAST(floor(weight * greatest(max(level) OVER (PARTITION BY {parent}), 0)) AS BIGINT))
+  ELSE 0 END AS share
+FROM (SELECT *, (budget - coalesce(sum(cap) OVER
+        ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / nullif(sum(greatest(weight, 0)) OVER
+        ({window} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS level
+      FROM {children})"""
+
+
+def _weight(path: str) -> str:
+    cases = " ".join(f"WHEN '{k}' THEN {v}" for k, v in WEIGHTS.items())
+    return f"CASE {path} {cases} ELSE 1 END"
+
+
+_DOMAIN = " ".join(
+    f"WHEN source IN ({', '.join(map(repr, names))}) THEN '{domain}'" for domain, names in DOMAINS.items()
+)
+_SENTENCE = r"[^.!?\n]+[.!?\n]*|[.!?\n]+"
+_SQUEEZED = (
+    rf"trim(regexp_replace(translate(unit, '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+', ' ', 'g'))"
+)
+
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": rf"""
+WITH u AS (
+  SELECT doc_id, unnest(pieces) AS unit, generate_subscripts(pieces, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SENTENCE}') AS pieces FROM documents)
+),
+n AS (
+  SELECT *, {_SQUEEZED} AS norm,
+         sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM u
+),
+w AS (SELECT *, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS words FROM n),
+r AS (
+  SELECT *, words >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS gone FROM w
+),
+a AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+         string_agg((stop - length(unit)) || '-' || stop, ',' ORDER BY i) FILTER (gone) AS removed,
+         string_agg(unit, '' ORDER BY i) FILTER (NOT gone) AS rest
+  FROM r GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed,
+       CASE WHEN text IS NULL THEN NULL ELSE coalesce(rest, '') END AS text
+FROM documents LEFT JOIN a USING (doc_id)
+""",
+    "op7_mixing": rf"""
+WITH d AS (
+  SELECT doc_id, lang, source, CASE {_DOMAIN} ELSE 'other' END AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+  FROM documents
+),
+leaf AS (
+  SELECT domain, lang, source, sum(tokens) AS tokens, 2 * sum(tokens) AS cap
+  FROM d WHERE tokens > 0 GROUP BY ALL
+),
+c1 AS (
+  SELECT domain, sum(cap) AS cap, {_weight("domain")} AS weight,
+         (SELECT sum(tokens) // 2 FROM leaf) AS budget, 0 AS root FROM leaf GROUP BY domain
+),
+s1 AS ({_filled("c1", "root", "domain")}),
+c2 AS (
+  SELECT l.*, s1.share AS budget, {_weight("l.domain || '/' || lang")} AS weight
+  FROM (SELECT domain, lang, sum(cap) AS cap FROM leaf GROUP BY ALL) l JOIN s1 USING (domain)
+),
+s2 AS ({_filled("c2", "domain", "lang")}),
+c3 AS (
+  SELECT leaf.*, s2.share AS budget,
+         {_weight("leaf.domain || '/' || leaf.lang || '/' || source")} AS weight
+  FROM leaf JOIN s2 USING (domain, lang)
+),
+s3 AS ({_filled("c3", "domain, lang", "source")}),
+e AS (
+  SELECT d.*, share // s3.tokens AS whole, share % s3.tokens AS rest,
+         sum(d.tokens) OVER (
+           PARTITION BY domain, lang, source
+           ORDER BY md5('42:' || (share // s3.tokens) || ':' || doc_id), d.tokens
+           ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN s3 USING (domain, lang, source) WHERE d.tokens > 0
+),
+t AS (SELECT *, whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS times FROM e)
+SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens,
+       unnest(range(0, CAST(times AS BIGINT))) AS epoch
+FROM t WHERE times > 0
+""",
     "op9_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
