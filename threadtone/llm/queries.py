@@ -12,6 +12,8 @@ from threadtone.llm.common import table
 from threadtone.llm.decontaminate import contamination
 from threadtone.llm.exact_dedup import exact_dedup
 from threadtone.llm.mixing import mix
+from threadtone.llm.quality import THRESHOLD, fit_quality, grade_of, graded
+from threadtone.llm.sharding import balanced_shards
 from threadtone.llm.simhash import near_duplicates
 from threadtone.llm.substring_dedup import without_repeats
 from threadtone.llm.token_files import read_back, write_token_files
@@ -57,6 +59,28 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(docs, target)
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade, chance of the highest grade and choice, for every document."""
+    docs = table(spark, folder, "documents")
+    grades = table(spark, folder, "labels").select("doc_id", grade_of().alias("grade"))
+    found = graded(docs, fit_quality(docs, grades))
+    return found.withColumn("kept", F.col("tail") >= THRESHOLD)
+
+
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard and slot of every document; row counts differ by one at most."""
+    placed = balanced_shards(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, folder, "documents"))
@@ -99,6 +123,8 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op4_quality": op4_quality,
+    "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
     "op9_decontamination": op9_decontamination,
