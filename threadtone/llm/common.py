@@ -79,6 +79,6 @@ def published(folder: str, name: str, attempt: str) -> Iterator[pyarrow.NativeFi
     system, path = files(folder)
     system.create_dir(path, recursive=True)
     scratch = f"{path}/_{name}.{attempt}"
-    with system.open_output_stream(scratch) as out:
+    with system.open_output_stream(scratch, compression=None) as out:
         yield out
     system.move(scratch, f"{path}/{name}")

@@ -17,6 +17,7 @@ from threadtone.llm.sharding import balanced_shards
 from threadtone.llm.simhash import near_duplicates
 from threadtone.llm.substring_dedup import without_repeats
 from threadtone.llm.token_files import read_back, write_token_files
+from threadtone.llm.warc import derive, read_records, write_responses
 from threadtone.session import fresh_path
 
 
@@ -102,6 +103,26 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """The derivatives of every page's response, as read back from their files.
+
+    A row per record: its page, identifiers, digest, and its text.
+    """
+    responses, derivatives = fresh_path(spark, "responses"), fresh_path(spark, "derivatives")
+    write_responses(table(spark, folder, "pages"), responses)
+    derive(spark, responses, derivatives)
+    return read_records(spark, derivatives).select(
+        F.element_at("headers", "X-Page-Key").cast("long").alias("page_id"),
+        "type",
+        "uri",
+        "date",
+        "record_id",
+        "refers_to",
+        "block_digest",
+        F.decode("block", "UTF-8").alias("content"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of benchmark passages in every document."""
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -127,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
     "op7_mixing": op7_mixing,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
 }

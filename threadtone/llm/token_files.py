@@ -271,7 +271,7 @@ def _write_index(pdf: pd.DataFrame, folder: str) -> pd.DataFrame:
 
 def _read_index(folder: str, bucket: int) -> tuple[PerfectHash, np.ndarray]:
     system, path = files(f"{folder}/index")
-    with system.open_input_stream(f"{path}/{bucket:06d}.mph") as data:
+    with system.open_input_stream(f"{path}/{bucket:06d}.mph", compression=None) as data:
         raw = data.read()
     (size,) = struct.unpack_from("<Q", raw)
     head = json.loads(raw[8 : 8 + size])
