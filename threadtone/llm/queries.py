@@ -16,6 +16,7 @@ from threadtone.llm.quality import THRESHOLD, fit_quality, grade_of, graded
 from threadtone.llm.sharding import balanced_shards
 from threadtone.llm.simhash import near_duplicates
 from threadtone.llm.substring_dedup import without_repeats
+from threadtone.llm.suffix_dedup import without_seen_bytes
 from threadtone.llm.token_files import read_back, write_token_files
 from threadtone.llm.warc import derive, read_records, write_responses
 from threadtone.session import fresh_path
@@ -52,6 +53,18 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the bytes seen before it."""
+    found = without_seen_bytes(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Where every document's ids are, and their checksum, read back from the files."""
     docs = table(spark, folder, "documents")
@@ -143,6 +156,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
     "op5_sharding": op5_sharding,
