@@ -304,7 +304,7 @@ def _distinct(pieces: list[bytes], owners: np.ndarray, problem: np.ndarray) -> t
 
 
 def _solved(pieces: list[bytes], owners: np.ndarray, problem: np.ndarray, deep: bool = True) -> dict[int, list[np.ndarray]]:
-    """Repeated windows of every piece; ``problem`` is in rising order."""
+    """Repeated windows of every piece; ``problem`` numbers the problems from 0, in rising order."""
     found: dict[int, list[np.ndarray]] = defaultdict(list)
     number, least, of = _distinct(pieces, owners, problem)
     # A piece that a smaller owner has as a whole is repeated as a whole.
@@ -351,7 +351,8 @@ def _repeats(payloads: list[bytes]) -> list[tuple[int, bytes]]:
     low, owner, mark, offset, home = low[order], owner[order], mark[order], offset[order], home[order]
     pieces = [pieces[i] for i in order.tolist()]
     rows: list[tuple[int, int, int, int, int]] = []
-    for i, windows in _solved(pieces, owner, low.astype(np.int64)).items():
+    problem = np.cumsum(np.diff(low.astype(np.int64), prepend=-1) != 0) - 1
+    for i, windows in _solved(pieces, owner, problem).items():
         starts, stops = _spans_of(np.unique(np.concatenate(windows)))
         for a, b in zip(starts.tolist(), stops.tolist()):
             rows.append((home[i], owner[i], mark[i], offset[i] + a, offset[i] + b))
