@@ -48,6 +48,11 @@ def ascii_lower(text: Column) -> Column:
     ).otherwise(F.translate(text, upper, upper.lower()))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, so that none can clash with those an operator adds."""
+    return F.struct(*(docs[c] for c in docs.columns)).alias("doc")
+
+
 def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose key is not in the one column of ``dropped``."""
     gone = dropped.toDF("__gone").distinct()

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadtone.llm.common import ascii_lower, stored, text_or_empty, without
+from threadtone.llm.common import ascii_lower, stored, text_or_empty, whole_row, without
 
 WINDOW = 13
 #: Windows in one broadcast: about 200 bytes each.
@@ -168,15 +168,17 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
     Expects unique keys.  Texts without a hit stay as they are.
     """
-    found = contamination(docs, benchmark, key, text).filter("n_hit > 0").select(F.col(key).alias("__id"), "spans")
+    found = contamination(docs, benchmark, key, text).filter("n_hit > 0").select(F.col(key).alias("hit_id"), "spans")
     found = stored(found, "decon-spans")
     word = RAW_SEPARATOR.replace("[", "[^", 1)
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"{RAW_SEPARATOR}*{word}+"), F.lit(0))
-    tail = F.regexp_extract(F.col(text), f"{RAW_SEPARATOR}*$", 0)
-    inside = lambda i: F.exists("spans", lambda s: i + 1 >= s["first"]) & F.exists(
-        "spans", lambda s: (i + 1 >= s["first"]) & (i + 1 <= s["last"])
-    )
-    rest = F.filter(pieces, lambda _, i: ~inside(i))
-    cut = F.when(F.col("spans").isNull(), F.col(text)).otherwise(F.concat(F.array_join(rest, ""), tail))
-    joined = docs.join(found, docs[key] == found["__id"], "left")
-    return joined.withColumn(text, cut).select(*docs.columns)
+    pieces = F.regexp_extract_all("x", F.lit(f"{RAW_SEPARATOR}*{word}+"), F.lit(0))
+    tail = F.regexp_extract("x", f"{RAW_SEPARATOR}*$", 0)
+
+    def inside(i: Column) -> Column:
+        return F.exists("spans", lambda s: (i + 1 >= s["first"]) & (i + 1 <= s["last"]))
+
+    rest = F.array_join(F.filter(pieces, lambda _, i: ~inside(i)), "")
+    rows = docs.select(whole_row(docs), F.col(key).alias("id"), F.col(text).alias("x"))
+    rows = rows.join(found.hint("merge"), F.col("id") == F.col("hit_id"), "left")
+    rows = rows.select("doc", F.when(F.col("spans").isNull(), F.col("x")).otherwise(F.concat(rest, tail)).alias("x"))
+    return rows.select(*(F.col("x").alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns))

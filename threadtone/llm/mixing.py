@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadtone.llm.common import BLANK, stored, text_or_empty
+from threadtone.llm.common import BLANK, stored, text_or_empty, whole_row
 
 LEVELS = ("domain", "lang", "source")
 #: Documents of a source that share a stretch of its permutation.
@@ -121,45 +121,35 @@ def mix(
     )
     plan = stored(plan.withColumn("leaf", F.to_json("leaf", {"ignoreNullFields": "false"})), "mix-plan")
 
-    def beside(rows: DataFrame, small: DataFrame) -> DataFrame:
-        small = F.broadcast(small) if count <= BROADCAST_LEAVES else small.hint("merge")
-        return rows.join(small, "__leaf")
+    def named(columns: dict[str, Column]) -> Column:
+        return F.to_json(F.struct(*(c.alias(n) for n, c in columns.items())), {"ignoreNullFields": "false"}).alias("leaf")
 
-    def named(small: DataFrame) -> DataFrame:
-        return small.select(*(F.col(c).alias(f"__{c}") for c in small.columns))
-
-    def placed(rows: DataFrame, names: dict[str, Column], id_: Column, small: DataFrame) -> DataFrame:
+    def placed(rows: DataFrame, small: DataFrame) -> DataFrame:
         """Rows with their source's plan and their place in its last epoch."""
-        leaf = F.to_json(F.struct(*(c.alias(n) for n, c in names.items())), {"ignoreNullFields": "false"})
-        rows = beside(rows.withColumn("__leaf", leaf), small)
-        turn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__full"), F.coalesce(id_.cast("string"), F.lit(""))))
-        rows = rows.withColumn("__turn", turn)
-        place = F.conv(F.substring("__turn", 1, 8), 16, 10).cast("long")
-        return rows.withColumn("__stretch", F.shiftright(place * F.col("__stretches"), 32))
+        rows = rows.join(F.broadcast(small) if count <= BROADCAST_LEAVES else small.hint("merge"), "leaf")
+        turn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+        place = F.conv(F.substring("turn", 1, 8), 16, 10).cast("long")
+        return rows.withColumn("turn", turn).withColumn("stretch", F.shiftright(place * F.col("stretches"), 32))
 
     own = {n: F.col(n) for n in LEVELS}
-    sums = placed(narrow, own, F.col("id"), named(plan)).groupBy("__leaf", "__rest", "__stretch").agg(F.sum("t").alias("t"))
-    along = Window.partitionBy("__leaf").orderBy("__stretch")
-    sums = sums.withColumn("upto", F.sum("t").over(along)).filter(F.col("upto") > F.col("__rest"))
-    ends = sums.groupBy("__leaf").agg(
-        F.min("__stretch").alias("end"), F.min(F.struct("__stretch", (F.col("upto") - F.col("t")).alias("b")))["b"].alias("before")
-    )
-    ends = stored(plan.join(ends, plan["leaf"] == ends["__leaf"]).drop("__leaf"), "mix-ends")
-    rows = docs.withColumn("__t", n_words(text)).filter("__t > 0")
-    rows = placed(rows, tree, F.col(key), named(ends))
-    last = rows.filter(F.col("__stretch") == F.col("__end")).withColumn(
-        "__upto", F.sum("__t").over(Window.partitionBy("__leaf").orderBy("__turn", "__t").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    one_more = F.when(F.col("__before") + F.col("__upto") <= F.col("__rest"), 1).otherwise(0)
-    rows = (
-        rows.filter(F.col("__stretch") != F.col("__end"))
-        .withColumn("__times", F.col("__full") + F.when(F.col("__stretch") < F.col("__end"), 1).otherwise(0))
-        .unionByName(last.withColumn("__times", F.col("__full") + one_more).drop("__upto"))
-        .filter("__times > 0")
+    sums = placed(narrow.select("id", "t", named(own)), plan).groupBy("leaf", "rest", "stretch").agg(F.sum("t").alias("t"))
+    along = Window.partitionBy("leaf").orderBy("stretch")
+    sums = sums.withColumn("upto", F.sum("t").over(along)).filter("upto > rest")
+    last = F.min(F.struct("stretch", (F.col("upto") - F.col("t")).alias("before")))
+    ends = sums.groupBy("leaf").agg(last.alias("last")).select("leaf", F.col("last.stretch").alias("end"), "last.before")
+    ends = stored(plan.join(ends, "leaf"), "mix-ends")
+    rows = docs.select(
+        whole_row(docs), domain.alias("mix_domain"), named(tree), F.col(key).alias("id"), n_words(text).alias("t")
     )
-    return rows.select(
-        *docs.columns,
-        domain.alias("mix_domain"),
-        F.col("__t").alias("mix_tokens"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("__times") - 1)).alias("mix_epoch"),
+    rows = placed(rows.filter("t > 0"), ends)
+    upto = F.sum("t").over(Window.partitionBy("leaf").orderBy("turn", "t").rowsBetween(Window.unboundedPreceding, 0))
+    cut = rows.filter("stretch = end").withColumn("upto", upto)
+    more = F.when(F.col("before") + F.col("upto") <= F.col("rest"), 1).otherwise(0)
+    cut = cut.withColumn("times", F.col("full") + more).drop("upto")
+    sure = F.when(F.col("stretch") < F.col("end"), 1).otherwise(0)
+    rows = rows.filter("stretch != end").withColumn("times", F.col("full") + sure)
+    rows = rows.unionByName(cut).filter("times > 0")
+    epochs_of = F.sequence(F.lit(0).cast("long"), F.col("times") - 1)
+    return rows.select("doc", "mix_domain", F.col("t").alias("mix_tokens"), F.explode(epochs_of).alias("mix_epoch")).select(
+        "doc.*", "mix_domain", "mix_tokens", "mix_epoch"
     )

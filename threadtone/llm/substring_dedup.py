@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from threadtone.llm.common import stored, text_or_empty
+from threadtone.llm.common import stored, text_or_empty, whole_row
 
 #: Each pattern cuts a text into units that together are the whole text.  Passages are
 #: often set into the middle of a line, so sentences are what finds them.
@@ -87,7 +88,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", unit: str
     return stored(again, "repeat-again")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
     """Texts without their spans, which are sorted and apart."""
 
@@ -120,13 +121,17 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", un
     spans = again.select("id", "t", "start", "stop").distinct().groupBy("id", "t").agg(
         F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("removed")
     )
-    what = stored(spans.withColumnsRenamed({"id": "__id", "t": "__t"}), "repeat-spans")
-    marked = docs.withColumn("__x", F.xxhash64(text_or_empty(text)))
-    same = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__x") == F.col("__t"))
-    joined = marked.join(what.hint("merge"), same, "left")
-    kind = "array<struct<start:bigint,stop:bigint>>"
-    joined = joined.withColumn("removed", F.coalesce("removed", F.array().cast(kind)))
-    cut = F.when(F.size("removed") > 0, _cut(text_or_empty(text), F.col("removed"))).otherwise(F.col(text))
-    own = [cut.alias(c) if c == text else marked[c] for c in docs.columns]
-    n_units = F.regexp_count(text_or_empty(text), F.lit(UNITS[unit])).cast("long")
-    return joined.select(*own, n_units.alias("n_units"), "removed")
+    what = stored(spans, "repeat-spans").alias("s")
+    rows = docs.select(
+        whole_row(docs), F.col(key).alias("id"), F.col(text).alias("x"), F.xxhash64(text_or_empty(text)).alias("t")
+    ).alias("d")
+    same = F.col("d.id").eqNullSafe(F.col("s.id")) & (F.col("d.t") == F.col("s.t"))
+    none = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+    rows = rows.join(what.hint("merge"), same, "left").select(
+        "doc",
+        F.when(F.col("removed").isNotNull(), _cut(text_or_empty("x"), F.col("removed"))).otherwise(F.col("x")).alias("x"),
+        F.regexp_count(text_or_empty("x"), F.lit(UNITS[unit])).cast("long").alias("n"),
+        F.coalesce("removed", none).alias("removed"),
+    )
+    own = [F.col("x").alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns]
+    return rows.select(*own, F.col("n").alias("n_units"), F.col("removed"))
