@@ -3,8 +3,9 @@
 Nodes start spread by hash.  In each round, joins count for every linked node how many
 of its neighbours each shard has; a node wants to go where most are.  How many may go
 from one shard to another is bounded by a quota: as many as want to come back, and a
-part of the room that is left.  Those who gain most go first.  At the end nodes that
-exceed the even size move on, unlinked ones first, so counts differ by one at most.
+part of the room that is left.  Those who gain most go first.  Unlinked nodes take up no
+room, as they can be anywhere: at the end those that exceed the even size move on, and
+linked ones only where these do not suffice, so counts differ by one at most.
 """
 
 from __future__ import annotations
@@ -15,8 +16,6 @@ from pyspark.sql import functions as F
 from threadtone.llm.common import stored, text_or_empty
 
 ROUNDS = 6
-#: Room above the even size while nodes move: one part in so many.
-ROOM = 50
 #: Rows that are ordered in one task when places are given out.
 STRETCH = 20_000
 #: Steps by which a quota is filled; more gain comes first, then a hash decides.
@@ -59,16 +58,16 @@ def _quotas(demand: dict[tuple[int, int], int], counts: list[int], most: int) ->
     return quotas
 
 
-def propagated(state: DataFrame, links: DataFrame, counts: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagated(state: DataFrame, links: DataFrame, shards: int, most: int, rounds: int = ROUNDS) -> DataFrame:
     """``node, shard`` of the linked nodes after ``rounds``.
 
     ``state`` has the linked nodes with their first shard, ``links`` their neighbours
-    ``src, dst, weight`` once in either direction; ``counts`` are the sizes of all
-    shards, unlinked nodes included.
+    ``src, dst, weight`` once in either direction.  No shard gets beyond ``most`` nodes
+    by the room it has; what an exchange leaves open may exceed it by a little.
     """
     spark = state.sparkSession
-    shards = len(counts)
-    most = -(-sum(counts) * (ROOM + 1) // (ROOM * shards))
+    sizes = {r.shard: r["count"] for r in state.groupBy("shard").count().collect()}
+    counts = [sizes.get(s, 0) for s in range(shards)]
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     both = stored(both, "shard-links")
     for number in range(rounds):
@@ -163,17 +162,17 @@ def balanced_shards(
     hubs = stored(hubs.filter("m > 1").drop("m"), "shard-hubs")
     grouped = stored(nodes.join(hubs.hint("merge"), "text_hash").select("node", "dst", "first"), "shard-groups")
     links = grouped.filter("node != dst").select(F.col("node").alias("src"), "dst", F.lit(1).alias("weight"))
-    per = {r["first"]: r["count"] for r in nodes.groupBy("first").count().collect()}
-    counts = [per.get(s, 0) for s in range(shards)]
-    state = propagated(grouped.select("node", F.col("first").alias("shard")), links, list(counts), rounds)
+    count = nodes.count()
+    state = grouped.select("node", F.col("first").alias("shard"))
+    state = propagated(state, links, shards, -(-count // shards), rounds)
     moved = state.withColumnsRenamed({"node": "n", "shard": "s"})
     placed = nodes.select("node", "first").join(moved.hint("merge"), F.col("node") == F.col("n"), "left")
     placed = placed.select(
         "node", F.coalesce("s", "first").alias("shard"), F.when(F.col("s").isNull(), 0).otherwise(1).alias("linked")
     )
     placed = stored(placed, "shard-placed")
-    final = stored(evened(placed, shards, sum(counts)), "shard-final")
-    slots = ranked(final, "shard", "node", sum(counts), "slot")
+    final = stored(evened(placed, shards, count), "shard-final")
+    slots = ranked(final, "shard", "node", count, "slot")
     return nodes.join(slots.hint("merge"), "node").select(
         F.col("id").alias(key), "size", F.col("crc").alias("text_crc32"), "shard", "slot", "text_hash"
     )
