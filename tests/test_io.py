@@ -8,7 +8,7 @@ from tests.scalar_text import cleaned
 from threadtone import schemas
 from threadtone.plans.cleaning import clean_bodies
 from threadtone.session import shared_folder
-from threadtone.sources import readers
+from threadtone.sources import readers, writers
 from threadtone.sources.materialize import fingerprint, materialize
 from threadtone.sources.writers import (
     write_csv_file,
@@ -36,6 +36,32 @@ def test_labeled_csv_is_all_text(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("a", "1", "-1", "0"), ("b", None, "1.0", "x")]
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = write_lines(tmp_path / "l.csv", ["note,Input_id,labeldjt,labeldem,labelgop", "n,x,1,-1,0"])
+    assert readers.read_labeled(spark, path).collect() == [("x", "-1", "0", "1")]
+    with pytest.raises(ValueError, match="labelgop"):
+        readers.read_labeled(spark, write_lines(tmp_path / "m.csv", ["Input_id,labeldem,labeldjt", "x,1,1"]))
+    other = write_lines(tmp_path / "o.csv", ["Input_id,labeldem,labelgop,labeldjt,note", "y,1,1,1,n"])
+    with pytest.raises(Exception, match="header"):
+        readers.read_labeled(spark, [path, other]).collect()
+
+
+def test_json_numbers_in_any_form(spark, tmp_path):
+    rows = [
+        {"id": "a", "created_utc": "1510012800", "score": 5.0},
+        {"id": "b", "created_utc": 1.5100128e9, "score": " -7 "},
+        {"id": "c", "created_utc": "soon", "score": None},
+        {"id": "d", "created_utc": 1510012800, "score": 3},
+    ]
+    path = write_lines(tmp_path / "c.json", rows)
+    got = readers.read_comments(spark, [path]).select("id", "created_utc", "score").collect()
+    assert [tuple(r) for r in got] == [
+        ("a", 1510012800, 5), ("b", 1510012800, -7), ("c", None, None), ("d", 1510012800, 3),
+    ]
+    lost = readers.unreadable(spark, path, schemas.COMMENTS).first()
+    assert (lost.created_utc, lost.score, lost.id) == (1, 0, 0)
+
+
 def test_comments_json_bz2(spark, tmp_path):
     rows = [
         {"id": "c1", "body": "x\ny", "link_id": "t3_s", "created_utc": 5, "score": -2,
@@ -141,6 +167,28 @@ def test_fingerprint_follows_inputs_and_parameters(spark, tmp_path):
     assert one != fingerprint(spark, [path], {"p": 1})
 
 
+def test_fingerprint_sees_every_file(spark, tmp_path):
+    nested = tmp_path / "in" / "a" / "b"
+    nested.mkdir(parents=True)
+    path = write_lines(nested / "x.json", ["1"])
+    write_lines(nested / "y.json", ["2"])
+    folder, pattern = str(tmp_path / "in"), str(tmp_path / "in" / "*")
+    before = fingerprint(spark, [folder], {}), fingerprint(spark, [pattern], {})
+    write_lines(nested / "x.json", ["7"])
+    os.utime(path, (1, 1))
+    after = fingerprint(spark, [folder], {}), fingerprint(spark, [pattern], {})
+    assert before[0] != after[0] and before[1] != after[1]
+    with pytest.raises(FileNotFoundError):
+        fingerprint(spark, [str(tmp_path / "absent*")], {})
+
+
+def test_two_parts_are_an_error(spark, tmp_path):
+    folder = tmp_path / "t"
+    spark.range(4).repartition(2).write.csv(str(folder))
+    with pytest.raises(RuntimeError, match="2 part files"):
+        writers._move_part(spark, str(folder), str(tmp_path / "t.csv"))
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 

@@ -12,6 +12,8 @@ from threadtone.operators.joins import (
 
 COMMENT = "id string, body string, link_id string, created_utc bigint, score bigint, author_flair_text string"
 
+from threadtone.operators.share import share_by_submission
+
 
 def comments(spark):
     return spark.createDataFrame(
@@ -35,6 +37,29 @@ def test_labelled_comments(spark):
     assert sorted(map(tuple, rows)) == [("c1", "0", "one"), ("c1", "1", "one")]
 
 
+def test_labels_are_broadcast_up_to_a_limit(spark):
+    labeled = spark.createDataFrame([("c1", "1")], "Input_id string, labeldjt string")
+    few = plan_of(labelled_comments(labeled, comments(spark), ["labeldjt"]))
+    assert "BroadcastHashJoin" in few and "Exchange hashpartitioning" not in few
+    many = labelled_comments(labeled, comments(spark), ["labeldjt"], most=0)
+    assert "SortMergeJoin" in plan_of(many)
+    assert [tuple(r) for r in many.collect()] == [("c1", "1", "one")]
+
+
+def test_hot_submission_is_summed_before_the_join(spark, skew_settings):
+    rows = spark.range(0, 50_000, 1, 8).select(
+        F.when(F.col("id") % 5 > 0, "t3_hot").otherwise(F.concat(F.lit("t3_"), "id")).alias("link_id"),
+        (F.col("id") % 2).cast("int").alias("p"),
+    )
+    submissions = spark.range(0, 50_000, 5).select(F.col("id").cast("string").alias("id"))
+    submissions = submissions.unionAll(spark.createDataFrame([("hot",), ("hot",), ("none",)], "id string"))
+    shares = share_by_submission(rows, submissions, {"s": "p"})
+    plan = plan_of(shares)
+    assert plan.index("SortMergeJoin") < plan.index("partial_sum")
+    got = {r.link_id: r.s for r in shares.collect()}
+    assert len(got) == 10_001 and got["hot"] == 0.5 and shares.count() == 10_001
+
+
 def test_with_submissions(spark):
     submissions = spark.createDataFrame([("s1", 100), ("s2", 200)], "id string, score bigint")
     rows = with_submissions(comments(spark), submissions, carry=["body"]).collect()

@@ -44,7 +44,7 @@ def test_score_curve_is_ordered(spark):
 
 def test_extremes_break_ties_by_key(spark):
     df = shares(spark, [("b", 0.9, 0.0), ("a", 0.9, 0.0), ("d", 0.1, 0.0), ("c", 0.1, 0.0), ("e", None, 0.0)])
-    assert tuple(report.extremes(df, "state", "Positive").first()) == ("a", 0.9, "c", 0.1)
+    assert tuple(report.extremes(df, "state", ["Positive"]).first()) == ("Positive", "a", 0.9, "c", 0.1)
 
 
 @pytest.mark.parametrize(

@@ -35,6 +35,15 @@ def test_hash_split_is_a_partition_of_the_rows(spark):
     assert 1350 < len(parts[0]) < 1650
 
 
+def test_rows_without_a_key_are_in_one_part(spark):
+    df = spark.createDataFrame([(None,), (None,), (1,)], "id int")
+    parts = [p.count() for p in sampling.hash_split(df, "id", (1, 1), seed=1)]
+    assert sum(parts) == 3
+    marked = sampling.hash_parts(df, "id", (1, 1, 2), seed=1)
+    assert marked.columns == ["id", "part"] and marked.where("part is null").count() == 0
+    assert sampling.hash_sample(df, "id", 1.0, 1).count() == 3
+
+
 def test_random_steps_repeat_with_their_seed(spark):
     df = spark.range(2000)
     assert keys(sampling.bernoulli_sample(df, 0.2, 4)) == keys(

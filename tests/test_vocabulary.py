@@ -1,7 +1,9 @@
 import pytest
 from pyspark.ml.feature import CountVectorizer
 
+from tests.conftest import plan_of
 from threadtone.functions.text import with_grams
+from threadtone.operators import vocabulary
 from threadtone.operators.vocabulary import (
     fit_vocabulary,
     most_frequent,
@@ -29,6 +31,28 @@ def test_most_frequent_with_ties(spark):
         assert [r.term for r in most_frequent(stats, size).collect()] == list(expected)
 
 
+def test_no_window_gathers_all_counts(spark):
+    stats = term_statistics(docs(spark, [["a", "b", "b"]]), min_df=1)
+    assert "Window" not in plan_of(most_frequent(stats, 1))
+
+
+def test_large_counts_fall_into_classes(spark):
+    rows = [(f"t{i:03}", 1, 1 + i * i) for i in range(300)]
+    stats = spark.createDataFrame(rows, "term string, document_frequency int, total_count long")
+    for size in (1, 7, 150, 299, 300, 400):
+        got = [r.term for r in most_frequent(stats, size).collect()]
+        assert got == [f"t{i:03}" for i in reversed(range(300))][:size]
+
+
+def test_long_vocabularies_are_not_left_to_the_optimizer(spark, monkeypatch):
+    monkeypatch.setattr(vocabulary, "BROADCAST_CHARACTERS", 0)
+    df = docs(spark, [["a", "b"], ["a"]])
+    model = fit_vocabulary(df, min_df=1)
+    terms = vector_terms(model.transform(df), model, ["id"])
+    assert "SortMergeJoin" in plan_of(terms)
+    assert {tuple(r) for r in terms.collect()} == {(0, "a"), (0, "b"), (1, "a")}
+
+
 def test_limit_cuts_by_total_count(spark):
     df = docs(spark, [["x", "x", "x", "y"], ["y", "z"], ["z"], ["y"]])
     model = fit_vocabulary(df, min_df=1, size=2)

@@ -6,9 +6,8 @@ one place, in plain text and in their natural order.
 """
 
 # --- fixed values: text -----------------------------------------------------
-# Members of the "word character" class: ASCII letters, digits, underscore (that
-# is \w for the JVM) and four signs.  Everything else is punctuation.
-WORD_CHARS = r"\w#$%'"
+# Members of the "word character" class; everything else is punctuation.
+WORD_CHARS = "a-zA-Z0-9_#$%'"
 # Punctuation that ends a phrase; each such character is a token of its own.
 PHRASE_END_CHARS = ".!?,;:"
 # White space as Unicode defines it (the JVM's \s covers ASCII only).

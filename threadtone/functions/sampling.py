@@ -14,27 +14,41 @@ from pyspark.sql import functions as F
 
 
 def unit_hash(key: Column, seed: int) -> Column:
-    """A value in [0, 1) from the first 32 bits of md5(seed:key)."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    """A value in [0, 1) from the first 32 bits of md5(seed:key); NULL is the empty key."""
+    name = F.coalesce(key.cast("string"), F.lit(""))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
-    """Rows whose key falls into the given fraction."""
+    """Rows whose key falls into the given fraction; rows without a key go together."""
     return df.where(unit_hash(F.col(key), seed) < F.lit(float(fraction)))
 
 
+def hash_parts(
+    df: DataFrame, key: str, weights: Sequence[float], seed: int, name: str = "part"
+) -> DataFrame:
+    """Add the number, from 1, of the part each row falls into, by the weights."""
+    total = float(sum(weights))
+    ends = [end / total for end in accumulate(weights)]
+    part = F.lit(len(ends))
+    at = F.col("__at")
+    for number, end in reversed(list(enumerate(ends[:-1], 1))):
+        part = F.when(at < F.lit(end), F.lit(number)).otherwise(part)
+    return df.withColumn("__at", unit_hash(F.col(key), seed)).withColumn(name, part).drop("__at")
+
+
 def hash_split(
     df: DataFrame, key: str, weights: Sequence[float], seed: int
 ) -> list[DataFrame]:
-    """Disjoint parts that cover all rows, in proportion to the weights."""
-    total = float(sum(weights))
-    ends = [end / total for end in accumulate(weights)]
-    ends[-1] = 1.0
-    at = unit_hash(F.col(key), seed)
+    """Disjoint parts that cover all rows, in proportion to the weights.
+
+    Each part scans ``df``; persist it, or use ``hash_parts``, where that is costly.
+    """
+    marked = hash_parts(df, key, weights, seed, "__part")
     return [
-        df.where((at >= F.lit(start)) & (at < F.lit(end)))
-        for start, end in zip([0.0, *ends[:-1]], ends, strict=True)
+        marked.where(F.col("__part") == number).drop("__part")
+        for number in range(1, len(weights) + 1)
     ]
 
 

@@ -1,9 +1,9 @@
 """The joins.  All are inner equi-joins, or a left join onto a dimension.
 
-No broadcast is forced: Spark broadcasts a side when its size estimate, or its
-real size once a shuffle has run, is under ``spark.sql.autoBroadcastJoinThreshold``
-and sort-merges otherwise.  In a sort-merge join, adaptive execution splits the
-partition of a hot key over many tasks.
+Spark broadcasts a side when its size estimate, or its real size once a shuffle has
+run, is under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise; only
+the labelled set, once counted, is broadcast by hint.  In a sort-merge join, adaptive
+execution splits the partition of a hot key over many tasks.
 """
 
 from __future__ import annotations
@@ -15,13 +15,25 @@ from pyspark.sql import functions as F
 
 from threadtone.functions.scalars import submission_id
 
+# Labelled comments that are broadcast: about 100 bytes each.
+BROADCAST_LABELS = 1_000_000
+
 
 def labelled_comments(
-    labeled: DataFrame, comments: DataFrame, labels: Sequence[str]
+    labeled: DataFrame,
+    comments: DataFrame,
+    labels: Sequence[str],
+    most: int = BROADCAST_LABELS,
 ) -> DataFrame:
-    """Label columns and body of every labelled comment."""
+    """Label columns and body of every labelled comment.
+
+    The labels are counted.  Up to ``most`` rows, an id and a few short values each,
+    they are broadcast, and no body is shuffled; beyond that both sides are.
+    """
+    narrow = labeled.select("Input_id", *labels)
+    narrow = F.broadcast(narrow) if labeled.count() <= most else narrow.hint("merge")
     return comments.select("id", "body").join(
-        labeled.select("Input_id", *labels), F.col("id") == F.col("Input_id")
+        narrow, F.col("id") == F.col("Input_id")
     ).select("Input_id", *labels, "body")
 
 

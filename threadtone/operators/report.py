@@ -29,16 +29,25 @@ def score_curve(shares: DataFrame, score: str) -> DataFrame:
     return shares.select(score, "Positive", "Negative").orderBy(score)
 
 
-def extremes(shares: DataFrame, key: str, value: str) -> DataFrame:
-    """Key and value of the largest and the smallest share; equals by key."""
-    lowest = F.struct(F.col(value).alias("v"), F.col(key).alias("k"))
-    highest = F.struct((-F.col(value)).alias("v"), F.col(key).alias("k"))
-    return shares.where(F.col(value).isNotNull()).agg(
-        F.min_by(key, highest).alias("max_key"),
-        F.max(value).alias("max_value"),
-        F.min_by(key, lowest).alias("min_key"),
-        F.min(value).alias("min_value"),
-    )
+def extremes(shares: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """``share`` and key and value of its largest and smallest; equals by key.
+
+    One row per name in ``values``, all from one pass over the shares.
+    """
+
+    def ends(value: str) -> Column:
+        lowest = F.struct(F.col(value).alias("v"), F.col(key).alias("k"))
+        highest = F.struct((-F.col(value)).alias("v"), F.col(key).alias("k"))
+        known = F.when(F.col(value).isNotNull(), F.col(key))
+        return F.struct(
+            F.lit(value).alias("share"),
+            F.min_by(known, F.when(known.isNotNull(), highest)).alias("max_key"),
+            F.max(value).alias("max_value"),
+            F.min_by(known, F.when(known.isNotNull(), lowest)).alias("min_key"),
+            F.min(value).alias("min_value"),
+        )
+
+    return shares.agg(F.array(*map(ends, values)).alias("ends")).select(F.inline("ends"))
 
 
 def _bounds(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadtone.constants import MIN_DOCUMENT_FREQUENCY, VOCABULARY_SIZE
@@ -40,18 +40,28 @@ def term_statistics(
 def most_frequent(stats: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
     """The ``size`` terms with the largest total count; equals in term order.
 
-    The count level at which ``size`` terms are reached comes from a table with
-    one row per distinct count, so only terms from that level up are sorted.
+    A histogram with sixteen classes per doubling of the count, so of a thousand rows
+    at most, shows the class in which ``size`` terms are reached; only terms of that
+    class and above are sorted.
     """
-    levels = stats.groupBy("total_count").agg(F.count(F.lit(1)).alias("terms"))
-    downwards = Window.orderBy(F.desc("total_count"))
-    level = (
-        levels.select("total_count", F.sum("terms").over(downwards).alias("reached"))
-        .where(F.col("reached") >= size)
-        .agg(F.coalesce(F.max("total_count"), F.lit(0)).alias("level"))
+    kind = F.floor(F.log2(F.col("total_count")) * 16).cast("int")
+    classes = stats.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("terms"))
+    zero = F.struct(F.lit(0).cast("long").alias("terms"), F.lit(0).alias("kind"))
+    downwards = F.aggregate(
+        F.array_sort(
+            F.collect_list(F.struct((-F.col("kind")).alias("down"), "terms"))
+        ),
+        zero,
+        lambda seen, one: F.when(seen["terms"] >= size, seen).otherwise(
+            F.struct(
+                (seen["terms"] + one["terms"]).alias("terms"),
+                (-one["down"]).alias("kind"),
+            )
+        ),
     )
+    level = classes.agg(downwards["kind"].alias("level"))
     return (
-        stats.where(F.col("total_count") >= level.scalar())
+        stats.where(kind >= level.scalar())
         .orderBy(F.desc("total_count"), "term")
         .limit(size)
     )
@@ -95,15 +105,16 @@ def vector_terms(
     """The terms present in each vector, one row each.
 
     The vocabulary has at most as many terms as it was fitted for, so it is the
-    side to broadcast, unless its text is long.  Left to itself Spark may pick the
-    other side, as it does not foresee how many rows the vectors unfold into.
+    side to broadcast, unless its text is long; then both sides are shuffled.  Left
+    to itself Spark may broadcast the other side, as it does not foresee how many rows
+    the vectors unfold into.
     """
     terms = model.vocabulary
     names = df.sparkSession.createDataFrame(
         list(enumerate(terms)), "position int, term string"
     )
-    if sum(map(len, terms)) <= BROADCAST_CHARACTERS:
-        names = F.broadcast(names)
+    small = sum(map(len, terms)) <= BROADCAST_CHARACTERS
+    names = F.broadcast(names) if small else names.hint("merge")
     present = df.select(
         *keys, F.explode(F.unwrap_udt(F.col(vector))["indices"]).alias("position")
     )

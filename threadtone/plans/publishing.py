@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from threadtone.constants import STATES
 from threadtone.functions.scalars import in_states, local_date
-from threadtone.operators.share import share_by_target
-from threadtone.sources.writers import write_csv_files
+from threadtone.operators.share import flags_of, share, share_by_target, unfolded
+from threadtone.session import fresh_path
+from threadtone.sources.writers import remove, write_csv_files, write_then_read
 
 
 def share_tables(
@@ -49,6 +50,29 @@ FILES = {
 }
 
 
+def all_shares(
+    sentiment: DataFrame, targets: Sequence[str], states: Sequence[str] = STATES
+) -> DataFrame:
+    """``table, key`` (as text) and the shares of every published table, in one pass.
+
+    Every row counts towards its day, and with a valid state towards the others too.
+    """
+    valid = in_states(F.col("state"), states)
+
+    def entry(table: str, key: Column) -> Column:
+        return F.struct(F.lit(table).alias("table"), key.cast("string").alias("key"))
+
+    day = entry("day", local_date(F.col("timestamp")))
+    rest = [
+        entry("state", F.col("state")),
+        entry("comment_score", F.col("c_score")),
+        entry("submission_score", F.col("s_score")),
+    ]
+    entries = F.when(valid, F.array(day, *rest)).otherwise(F.array(day))
+    rows = sentiment.select(F.inline(entries), *flags_of(targets))
+    return share(rows, ["table", "key"], flags_of(targets))
+
+
 def publish(
     sentiment: DataFrame,
     targets: Sequence[str],
@@ -58,17 +82,22 @@ def publish(
 ) -> list[str]:
     """Write the four CSV files of each target; returns their paths.
 
-    File names carry the target as prefix, except those of ``unprefixed``.  The
-    files of one table come from one job over one aggregation for all targets.
+    File names carry the target as prefix, except those of ``unprefixed``.  One pass
+    over the rows gives the shares of all tables and targets, which are stored; the
+    files of one table come from one job over them.
     """
+    spark = sentiment.sparkSession
+    home = fresh_path(spark, "shares")
+    shares = write_then_read(all_shares(sentiment, targets, states), home)
     written = []
-    tables = share_tables(sentiment, targets, states)
     for table, (file, key, positive, negative) in FILES.items():
         paths = {
             t: f"{folder}/{file}" if t == unprefixed else f"{folder}/{t}_{file}"
             for t in targets
         }
-        rows = tables[table].select(
+        kind = "bigint" if key.endswith("_score") else "string"
+        wide = shares.where(F.col("table") == table).withColumn(key, F.col("key").cast(kind))
+        rows = unfolded(wide, key, targets).select(
             "target",
             key,
             F.col("Positive").alias(positive),
@@ -76,4 +105,5 @@ def publish(
         )
         write_csv_files(rows, "target", paths, [key])
         written.extend(paths.values())
+    remove(spark, home)
     return written

@@ -21,7 +21,7 @@ from threadtone.constants import (
     TRAIN_FRACTION,
     VOCABULARY_SIZE,
 )
-from threadtone.functions.sampling import hash_split
+from threadtone.functions.sampling import hash_parts, unit_hash
 from threadtone.functions.scalars import negative_label, positive_label
 from threadtone.functions.text import with_grams
 from threadtone.operators.classifier import (
@@ -35,12 +35,14 @@ from threadtone.operators.joins import labelled_comments
 from threadtone.operators.vocabulary import fit_vocabulary
 from threadtone.session import fresh_path
 from threadtone.sources.filesystem import file_system
-from threadtone.sources.writers import write_table, write_then_read
+from threadtone.sources.writers import remove, write_table, write_then_read
 
 # Each pass over the data costs every partition a gradient as long as the
 # vocabulary, so a partition should hold rows enough to be worth one.
 ROWS_PER_PARTITION = 4096
 CONCURRENT_MODELS = 6
+# Folds must not follow the split into halves, so they go by another seed.
+FOLD_SEED = 1
 
 
 def label_columns(targets: Sequence[Target]) -> list[str]:
@@ -62,14 +64,12 @@ def labelled_grams(
     """``Input_id``, the binary labels and the gram list of each labelled comment.
 
     The joined rows are rebalanced before the text steps, since what the join
-    leaves of the comments may be little and unevenly spread.  The result is stored
-    once and read back: the vocabulary and every model start from it.
+    leaves of the comments may be little and unevenly spread.
     """
     raw = labelled_comments(labeled, comments, [t.label for t in targets])
-    ready = with_grams(with_binary_labels(raw.hint("rebalance"), targets)).select(
+    return with_grams(with_binary_labels(raw.hint("rebalance"), targets)).select(
         "Input_id", *label_columns(targets), "grams"
     )
-    return write_then_read(ready, fresh_path(comments.sparkSession, "labelled-grams"))
 
 
 def _each(work: Callable[[str], Any], names: Sequence[str]) -> list[Any]:
@@ -142,36 +142,41 @@ def train(
 ) -> Trained:
     """Fit the vocabulary on all labelled comments and the models on half of them.
 
-    The split goes by comment id, so it is the same on every run and cluster.  As
-    many folds are fitted at a time as the cluster has room for.
+    The split and the folds go by comment id, so they are the same on every run and
+    cluster.  As many folds are fitted at a time as the cluster has room for.  The
+    gram table, from which the vocabulary and every model start, is stored for the time
+    of the training.
     """
-    grams = labelled_grams(labeled, comments, targets)
+    spark = comments.sparkSession
+    home = fresh_path(spark, "labelled-grams")
+    grams = write_then_read(labelled_grams(labeled, comments, targets), home)
     vocabulary = fit_vocabulary(grams, min_df=min_df, size=vocabulary_size)
     names = label_columns(targets)
     features = vocabulary.transform(grams).select("Input_id", *names, "vectorized")
     partitions = max(1, ceil(grams.count() / ROWS_PER_PARTITION))
-    # Rows are dealt out in turn, so copies of one comment cannot fill a partition,
-    # and ordered, so the random folds repeat.
-    features = features.repartition(partitions).sortWithinPartitions("Input_id")
-    slots = comments.sparkSession.sparkContext.defaultParallelism
+    halves = (TRAIN_FRACTION, 1.0 - TRAIN_FRACTION)
+    fold = F.floor(unit_hash(F.col("Input_id"), seed + FOLD_SEED) * folds).cast("int")
+    features = hash_parts(features.withColumn("fold", fold), "Input_id", halves, seed)
+    # Rows are dealt out in turn, so copies of one comment cannot fill a partition.
+    features = features.repartition(partitions).sortWithinPartitions("Input_id").persist()
+    slots = spark.sparkContext.defaultParallelism
     folds_at_a_time = max(1, min(folds, slots // partitions))
-    rest = 1.0 - TRAIN_FRACTION
-    learn, held_out = hash_split(features, "Input_id", (TRAIN_FRACTION, rest), seed)
-    learn, held_out = learn.persist(), held_out.persist()
+    learn, held_out = features.where("part = 1"), features.where("part = 2")
     # One pass fills the cache before the threads start asking for it.
-    learn.count()
+    features.count()
 
     def fit(name: str) -> tuple[str, CrossValidatorModel, float | None]:
         model = cross_validate(
-            learn, name, seed=seed, grid=grid, folds=folds, parallelism=folds_at_a_time
+            learn, name, seed=seed, grid=grid, folds=folds,
+            parallelism=folds_at_a_time, fold="fold",
         )
         return name, model, holdout_auc(model, held_out, name) if evaluate else None
 
     try:
         fits = _each(fit, names)
     finally:
-        learn.unpersist()
-        held_out.unpersist()
+        features.unpersist()
+        remove(spark, home)
     return Trained(
         Bundle(tuple(targets), vocabulary, {name: model for name, model, _ in fits}),
         {name: float(max(model.avgMetrics)) for name, model, _ in fits},
@@ -180,16 +185,22 @@ def train(
 
 
 def train_once(
-    home: str, labeled: DataFrame, comments: DataFrame, targets: Sequence[Target], seed: int
+    home: str,
+    labeled: DataFrame,
+    comments: DataFrame,
+    targets: Sequence[Target],
+    seed: int,
+    **settings: Any,
 ) -> str:
     """Models and metrics below ``home``, trained unless they are there already.
 
     The metrics are written last, so their marker vouches for the models.
+    ``settings`` go to ``train``.
     """
     spark = comments.sparkSession
     fs, done = file_system(spark, f"{home}/metrics/_SUCCESS")
     if not fs.exists(done):
-        outcome = train(labeled, comments, targets, seed)
+        outcome = train(labeled, comments, targets, seed, **settings)
         outcome.bundle.save(home)
         write_table(outcome.metrics(spark), f"{home}/metrics")
     return home

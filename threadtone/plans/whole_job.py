@@ -6,7 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from threadtone.constants import SAMPLE_FRACTION, STATES
+from threadtone.constants import (
+    FOLDS,
+    MIN_DOCUMENT_FREQUENCY,
+    REGULARISATION_GRID,
+    SAMPLE_FRACTION,
+    STATES,
+    VOCABULARY_SIZE,
+)
 from threadtone.operators.classifier import TARGETS, Target
 from threadtone.plans.publishing import publish
 from threadtone.plans.scoring import sentiment, unseen_comments
@@ -14,6 +21,7 @@ from threadtone.plans.training import Bundle, train_once
 from threadtone.session import shared_folder
 from threadtone.sources.materialize import fingerprint, materialize
 from threadtone.sources.readers import (
+    Paths,
     read_comments,
     read_labeled,
     read_submissions,
@@ -23,25 +31,36 @@ from threadtone.sources.readers import (
 
 def run(
     spark: SparkSession,
-    labeled: str,
-    comments: str,
-    submissions: str,
+    labeled: Paths,
+    comments: Paths,
+    submissions: Paths,
     output: str,
     targets: Sequence[Target] = TARGETS,
     states: Sequence[str] = STATES,
     fraction: float = SAMPLE_FRACTION,
     seed: int = 0,
     model_folder: str | None = None,
+    min_df: int = MIN_DOCUMENT_FREQUENCY,
+    vocabulary_size: int = VOCABULARY_SIZE,
+    grid: Sequence[float] = REGULARISATION_GRID,
+    folds: int = FOLDS,
 ) -> list[str]:
     """Train or load the models, score a sample, write the CSV files.
 
-    The inputs are kept as Parquet in the shared folder, as are the models and the
-    flag table, all under fingerprints of the files and parameters they were made
-    from.  With ``model_folder`` naming stored models nothing is trained.
+    Each input is a path, a pattern or a list of them.  The inputs are kept as Parquet
+    in the shared folder, as are the models and the flag table, all under fingerprints
+    of the files and parameters they were made from.  With ``model_folder`` naming
+    stored models nothing is trained.
     """
+    settings = {
+        "min_df": min_df,
+        "vocabulary_size": vocabulary_size,
+        "grid": tuple(grid),
+        "folds": folds,
+    }
 
-    def stored(name: str, path: str, read) -> tuple:
-        key = fingerprint(spark, [path], {})
+    def stored(name: str, path: Paths, read) -> tuple:
+        key = fingerprint(spark, [path] if isinstance(path, str) else path, {})
         return key, materialize(spark, name, lambda: read(spark, path), key)
 
     labeled_key, labeled_df = stored("labeled", labeled, read_labeled)
@@ -54,10 +73,15 @@ def run(
     if model_folder:
         models_key = fingerprint(spark, [model_folder], {"targets": names})
     else:
-        made_from = {"inputs": [labeled_key, comments_key], "targets": names, "seed": seed}
+        made_from = {
+            "inputs": [labeled_key, comments_key],
+            "targets": names,
+            "seed": seed,
+            "settings": settings,
+        }
         models_key = fingerprint(spark, [], made_from)
         model_folder = f"{shared_folder(spark)}/models-{models_key}"
-        train_once(model_folder, labeled_df, comments_df, targets, seed)
+        train_once(model_folder, labeled_df, comments_df, targets, seed, **settings)
     bundle = Bundle.load(model_folder, targets)
 
     params = {

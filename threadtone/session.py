@@ -27,6 +27,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
     )
     if master:
@@ -48,7 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _OWN_FOLDERS:
         _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="threadtone-")

@@ -13,21 +13,32 @@ from threadtone.session import shared_folder
 from threadtone.sources.filesystem import file_system
 from threadtone.sources.writers import write_then_read
 
+# To be raised when the text chain, the schemas or the models change what is stored.
+FORMAT_VERSION = 2
+
 
 def fingerprint(
     spark: SparkSession, paths: Sequence[str], params: Mapping[str, Any]
 ) -> str:
-    """Digest of the inputs' size, file count and time, and of the parameters.
+    """Digest of every input file's path, length and time, and of the parameters.
 
-    Asks the file system for one summary per path; no data is read.
+    A path may be a folder, which is listed to its end, or a pattern.  No data is
+    read.  Tables of another ``FORMAT_VERSION`` are never taken for these.
     """
     inputs = []
     for path in paths:
-        fs, target = file_system(spark, path)
-        summary = fs.getContentSummary(target)
-        changed = fs.getFileStatus(target).getModificationTime()
-        inputs.append([path, summary.getLength(), summary.getFileCount(), changed])
-    text = json.dumps([inputs, dict(params)], sort_keys=True, default=str)
+        fs, pattern = file_system(spark, path)
+        found = fs.globStatus(pattern) or []
+        if not found:
+            raise FileNotFoundError(path)
+        for status in found:
+            listed = fs.listFiles(status.getPath(), True)
+            while listed.hasNext():
+                file = listed.next()
+                inputs.append([file.getPath().toString(), file.getLen(), file.getModificationTime()])
+    text = json.dumps(
+        [FORMAT_VERSION, sorted(inputs), dict(params)], sort_keys=True, default=str
+    )
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 

@@ -21,6 +21,11 @@ def write_then_read(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def write_csv_table(df: DataFrame, path: str) -> None:
+    """CSV part files with header, as many as the table has partitions."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_csv_folder(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """One CSV part file with header, rows in key order.
 
@@ -36,6 +41,12 @@ def write_csv_folder(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that is not needed any more."""
+    fs, target = file_system(spark, folder)
+    fs.delete(target, True)
+
+
 def write_csv_file(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """One CSV file of exactly this name, on any file system Spark can write."""
     folder = f"{path}.{uuid4().hex}"
@@ -43,7 +54,7 @@ def write_csv_file(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     spark = df.sparkSession
     if not _move_part(spark, folder, path):
         raise RuntimeError(f"expected one part file in {folder}")
-    _remove(spark, folder)
+    remove(spark, folder)
 
 
 def write_csv_files(
@@ -65,21 +76,18 @@ def write_csv_files(
         if not _move_part(spark, f"{folder}/{by}={value}", path):
             # A value without rows has no part; its file holds the header alone.
             write_csv_file(df.where(F.col(by) == value).drop(by), path, keys)
-    _remove(spark, folder)
+    remove(spark, folder)
 
 
 def _move_part(spark: SparkSession, folder: str, path: str) -> bool:
     fs, pattern = file_system(spark, f"{folder}/part-*.csv")
     parts = fs.globStatus(pattern) or []
-    if len(parts) != 1:
+    if not parts:
         return False
+    if len(parts) > 1:
+        raise RuntimeError(f"{len(parts)} part files in {folder}, not one")
     _, target = file_system(spark, path)
     fs.delete(target, False)
     if not fs.rename(parts[0].getPath(), target):
         raise RuntimeError(f"could not move {parts[0].getPath()} to {path}")
     return True
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    fs, target = file_system(spark, folder)
-    fs.delete(target, True)

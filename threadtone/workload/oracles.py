@@ -5,6 +5,7 @@ from __future__ import annotations
 from threadtone.constants import SAMPLE_FRACTION
 from threadtone.workload import standins as given
 
+# Fixed value: the word characters, as SQL text.
 _W = "a-zA-Z0-9_#$%''"
 _PLACES = ", ".join(f"'{p}'" for p in given.PLACES)
 _OFF_MAP = ", ".join(f"'{p}'" for p in given.OFF_MAP)
@@ -132,6 +133,8 @@ _UNIT = (
     + ":' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0"
 )
 
+_FRESH = "NOT regexp_matches(text, '^&gt') AND text NOT LIKE '%/s%'"
+
 _STATE_SHARES = f"""{_SENTIMENT},
 shares AS (SELECT state, {_ratio('balance_pos')} AS "Positive",
     {_ratio('balance_neg')} AS "Negative" FROM sentiment
@@ -185,6 +188,12 @@ ORACLES: dict[str, str] = {
     "scan_project": "SELECT doc_id AS id, lang AS language, n_chars FROM documents",
     "csv_string_roundtrip": f"WITH {_LABELS} SELECT CAST(Input_id AS VARCHAR) AS Input_id,"
     " label_balance, label_quality, label_toxic FROM labeled",
+    "csv_columns_by_name": "SELECT doc_id AS Input_id, "
+    "CAST(quality - toxic AS BIGINT) AS label_balance, "
+    "CAST(quality * 2 - 1 AS BIGINT) AS label_quality, "
+    "CAST(toxic * 2 - 1 AS BIGINT) AS label_toxic FROM labels",
+    "json_numbers_in_any_form": f"WITH {_META} SELECT CAST(id AS VARCHAR) AS id, "
+    "created_utc, score FROM meta",
     "json_bz2_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS id, text AS body FROM documents",
     "body_file_cleaning": _text(_POSTS, _FOUR.format(keys="")),
     "materialize_reuse": "SELECT doc_id, lang, n_chars FROM documents",
@@ -194,13 +203,25 @@ ORACLES: dict[str, str] = {
     "label_binarize": f"WITH {_LABELS} SELECT * FROM flags",
     "submission_key_join": f"WITH {_SIGHTINGS} SELECT * FROM sightings",
     "sentiment_join": f"WITH {_SENTIMENT} SELECT * FROM sentiment",
-    "unseen_filter": "SELECT page_id AS id, url AS body FROM pages "
-    "WHERE NOT regexp_matches(url, '^&gt') AND url NOT LIKE '%/s%'",
+    "unseen_filter": "SELECT * FROM (SELECT page_id AS id, CASE page_id % 5 "
+    "WHEN 0 THEN '&gt; ' || url WHEN 1 THEN url || ' of course /s' "
+    "WHEN 2 THEN 'a &gt; b ' || lower(url) ELSE url END AS body FROM pages) "
+    "WHERE NOT regexp_matches(body, '^&gt') AND body NOT LIKE '%/s%'",
     "state_membership": f"WITH {_META} SELECT * FROM meta "
     f"WHERE author_flair_text IN ({_PLACES})",
     "hash_sample": f"SELECT doc_id, n_chars FROM documents WHERE {_UNIT} < {SAMPLE_FRACTION}",
     "hash_split": f"SELECT doc_id, n_chars, CASE WHEN {_UNIT} < 0.5 THEN 1 ELSE 2 END AS part "
     "FROM documents",
+    "random_split": "SELECT doc_id, n_chars FROM documents",
+    "model_flags_agree": "SELECT doc_id AS id, "
+    + ", ".join(f"true AS {name}" for name in given.FLAGS)
+    + f" FROM documents WHERE {_FRESH} AND {_UNIT} < {SAMPLE_FRACTION}",
+    "model_auc_in_range": "SELECT target, flag, true AS in_range FROM "
+    "(SELECT unnest(['balance', 'quality', 'toxic']) AS target), "
+    "(SELECT unnest(['pos', 'neg']) AS flag)",
+    "scored_sentiment": f"WITH {_SIGHTINGS} SELECT sightings.*, true AS flagged "
+    f"FROM sightings JOIN documents ON comment_id = doc_id "
+    f"WHERE {_FRESH} AND {_UNIT} < {SAMPLE_FRACTION}",
     "text_parsed": _text(_DOCUMENTS, "SELECT id, parsed FROM texts"),
     "text_unigrams": _text(
         _DOCUMENTS, "SELECT id, array_to_string(g1, ' ') AS unigrams FROM texts"

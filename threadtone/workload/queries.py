@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +19,13 @@ from threadtone.operators.joins import (
     labelled_comments,
     with_flags,
 )
-from threadtone.operators.share import share, share_by_target
+from threadtone.operators.share import (
+    flags_of,
+    share,
+    share_by_submission,
+    share_by_target,
+    unfolded,
+)
 from threadtone.operators.vocabulary import (
     fit_vocabulary,
     most_frequent,
@@ -32,7 +38,7 @@ from threadtone.plans.training import with_binary_labels
 from threadtone.session import fresh_path
 from threadtone.sources.materialize import fingerprint, materialize
 from threadtone.sources.readers import read_csv, read_json
-from threadtone.sources.writers import write_csv_file, write_csv_folder, write_table
+from threadtone.sources.writers import write_csv_file, write_csv_table, write_then_read
 from threadtone.workload import standins as given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,11 +76,32 @@ def scan_project(spark, folder):
 def csv_string_roundtrip(spark, folder):
     path = fresh_path(spark, "labeled")
     source = given.labeled(spark, folder)
-    write_csv_folder(source, path, ["Input_id"])
+    write_csv_table(source, path)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in source.columns])
     return read_csv(spark, path, schema)
 
 
+@_register
+def csv_columns_by_name(spark, folder):
+    path = fresh_path(spark, "labeled")
+    source = given.labeled(spark, folder)
+    names = source.columns
+    write_csv_table(source.select(F.lit("x").alias("note"), *reversed(names)), path)
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
+    return read_csv(spark, path, schema)
+
+
+@_register
+def json_numbers_in_any_form(spark, folder):
+    path = fresh_path(spark, "comments")
+    given.metadata(spark, folder).select(
+        F.col("id").cast("string"),
+        F.col("created_utc").cast("string"),
+        F.col("score").cast("decimal(20,1)"),
+    ).write.json(path)
+    return read_json(spark, path, schemas.COMMENTS).select("id", "created_utc", "score")
+
+
 @_register
 def json_bz2_roundtrip(spark, folder):
     path = fresh_path(spark, "comments")
@@ -110,8 +137,9 @@ def materialize_reuse(spark, folder):
 @_register
 def published_files(spark, folder):
     home = fresh_path(spark, "published")
+    rows = write_then_read(given.sentiment(spark, folder), fresh_path(spark, "sentiment"))
     paths = publishing.publish(
-        given.sentiment(spark, folder),
+        rows,
         given.TARGET_NAMES,
         home,
         given.PLACES,
@@ -123,15 +151,12 @@ def published_files(spark, folder):
             (t for t in given.TARGET_NAMES if f"/{t}_" in path[len(home):]), "balance"
         )
         file = path.rsplit("/", 1)[1].removeprefix(f"{target}_")
-        schema = T.StructType(
-            [T.StructField("key", T.StringType())]
-            + [T.StructField(c, T.DoubleType()) for c in ("Positive", "Negative")]
-        )
+        names = next(n for f, *n in publishing.FILES.values() if f == file)
+        kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+        schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
         parts.append(
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("enforceSchema", True)
-            .csv(path)
+            read_csv(spark, path, schema)
+            .toDF("key", "Positive", "Negative")
             .select(F.lit(target).alias("target"), F.lit(file).alias("file"), "*")
         )
     out = parts[0]
@@ -169,8 +194,15 @@ def sentiment_join(spark, folder):
 
 @_register
 def unseen_filter(spark, folder):
+    kind, url = F.col("page_id") % 5, F.col("url")
+    body = (
+        F.when(kind == 0, F.concat(F.lit("&gt; "), url))
+        .when(kind == 1, F.concat(url, F.lit(" of course /s")))
+        .when(kind == 2, F.concat(F.lit("a &gt; b "), F.lower("url")))
+        .otherwise(url)
+    )
     pages = given.table(spark, folder, "pages").select(
-        F.col("page_id").alias("id"), F.col("url").alias("body")
+        F.col("page_id").alias("id"), body.alias("body")
     )
     return pages.where(scalars.is_fresh_comment(F.col("body")))
 
@@ -193,10 +225,7 @@ def hash_sample(spark, folder):
 @_register
 def hash_split(spark, folder):
     documents = given.table(spark, folder, "documents").select("doc_id", "n_chars")
-    first, second = sampling.hash_split(documents, "doc_id", (0.5, 0.5), given.SEED)
-    return first.withColumn("part", F.lit(1)).unionAll(
-        second.withColumn("part", F.lit(2))
-    )
+    return sampling.hash_parts(documents, "doc_id", (0.5, 0.5), given.SEED)
 
 
 @_register
@@ -209,9 +238,8 @@ def bernoulli_sample(spark, folder):
 def random_split(spark, folder):
     documents = given.table(spark, folder, "documents").select("doc_id", "n_chars")
     first, second = sampling.random_split(documents, (0.5, 0.5), given.SEED)
-    return first.withColumn("part", F.lit(1)).unionAll(
-        second.withColumn("part", F.lit(2))
-    )
+    # Which row falls where is random; that each falls into one part is not.
+    return first.unionAll(second)
 
 
 # --- text --------------------------------------------------------------------
@@ -276,9 +304,8 @@ def _sql_views(spark, folder):
 
 
 _SQL_SENTIMENT = (
-    "WITH sentiment AS (SELECT c.created_utc AS seen, c.author_flair_text AS state, "
-    "f.balance_pos AS pos, f.balance_neg AS neg FROM tt_comments c "
-    "JOIN tt_submissions s ON cutoff(c.link_id) = s.id JOIN tt_flags f ON f.id = c.id) "
+    "FROM tt_comments |> JOIN tt_flags USING (id) "
+    "|> LEFT SEMI JOIN tt_submissions s ON s.id = cutoff(link_id) "
 )
 
 
@@ -286,9 +313,9 @@ _SQL_SENTIMENT = (
 def sql_share_by_day(spark, folder):
     _sql_views(spark, folder)
     return spark.sql(
-        _SQL_SENTIMENT + "SELECT string(date(from_unixtime(seen))) AS date, "
-        "sum(pos) / count(*) AS pos_avg_day, sum(neg) / count(*) AS neg_avg_day "
-        "FROM sentiment GROUP BY date"
+        _SQL_SENTIMENT + "|> AGGREGATE avg(balance_pos) AS pos_avg_day, "
+        "avg(balance_neg) AS neg_avg_day "
+        "GROUP BY string(date(timestamp_seconds(created_utc))) AS date"
     )
 
 
@@ -296,9 +323,9 @@ def sql_share_by_day(spark, folder):
 def sql_share_by_state(spark, folder):
     _sql_views(spark, folder)
     return spark.sql(
-        _SQL_SENTIMENT + "SELECT state, sum(pos) / count(*) AS Positive, "
-        "sum(neg) / count(*) AS Negative FROM sentiment "
-        "WHERE validstate(state) = 1 GROUP BY state"
+        _SQL_SENTIMENT + "|> WHERE validstate(author_flair_text) = 1 "
+        "|> AGGREGATE avg(balance_pos) AS Positive, avg(balance_neg) AS Negative "
+        "GROUP BY author_flair_text AS state"
     )
 
 
@@ -334,9 +361,9 @@ def vector_vocabulary_terms(spark, folder):
 
 @_register
 def share_by_link(spark, folder):
-    return share(
-        given.sentiment(spark, folder),
-        "link_id",
+    return share_by_submission(
+        given.flagged(spark, folder),
+        given.submissions(spark, folder),
         {"pos_avg": "balance_pos", "neg_avg": "balance_neg"},
     )
 
@@ -401,7 +428,12 @@ def share_by_target_day(spark, folder):
 
 @_register
 def share_by_target_link(spark, folder):
-    return _target_table(spark, folder, "link")
+    wide = share_by_submission(
+        given.flagged(spark, folder),
+        given.submissions(spark, folder),
+        flags_of(given.TARGET_NAMES),
+    )
+    return unfolded(wide, "link_id", given.TARGET_NAMES)
 
 
 @_register
@@ -438,12 +470,7 @@ def timeseries_report(spark, folder):
 
 @_register
 def state_extremes(spark, folder):
-    shares = _by_state(spark, folder)
-    out = [
-        report.extremes(shares, "state", value).select(F.lit(value).alias("share"), "*")
-        for value in ("Positive", "Negative")
-    ]
-    return out[0].unionAll(out[1])
+    return report.extremes(_by_state(spark, folder), "state", ("Positive", "Negative"))
 
 
 def _scale(spark, folder, build):
@@ -521,12 +548,62 @@ def model_holdout_auc(spark, folder):
     return given.metrics(spark, folder).select("target", "flag", "holdout_auc")
 
 
+def _scored(spark, folder, bundle):
+    unseen = scoring.unseen_comments(
+        given.spread_bodies(spark, folder), SAMPLE_FRACTION, given.SEED
+    )
+    return scoring.score(unseen, bundle)
+
+
 def _model_flags(spark, folder):
     bundle = given.bundle(spark, folder)
+    return scoring.flags(_scored(spark, folder, bundle), bundle)
+
+
+@_register
+def model_flags_agree(spark, folder):
+    """Whether each flag is what the stored model's probability and the limit say."""
+    bundle = given.bundle(spark, folder)
+    scored = _scored(spark, folder, bundle)
+    kept = {f"p_{name}": F.col(f"{name}_prob") for name in given.FLAGS}
+    flagged = scoring.flags(scored.withColumns(kept), bundle)
+    limits = {
+        f"{t.name}_{kind}": limit
+        for t in given.TARGETS
+        for kind, limit in (("pos", t.positive_threshold), ("neg", t.negative_threshold))
+    }
+    agree = [
+        (
+            F.col(name)
+            == (vector_to_array(f"p_{name}")[1].cast("float") > F.lit(limit)).cast("int")
+        ).alias(name)
+        for name, limit in limits.items()
+    ]
+    return flagged.select("id", *agree)
+
+
+@_register
+def model_auc_in_range(spark, folder):
+    """The models' areas under ROC, as whether they can be ones."""
+    metrics = given.metrics(spark, folder)
+    fits = F.col("cv_auc").between(0, 1) & F.col("holdout_auc").between(0, 1)
+    return metrics.select("target", "flag", fits.alias("in_range"))
+
+
+@_register
+def scored_sentiment(spark, folder):
+    """The rows that the whole scoring path gives, without the flags a model decides."""
     unseen = scoring.unseen_comments(
-        given.spread_bodies(spark, folder), SAMPLE_FRACTION, given.SEED
+        given.comments(spark, folder), SAMPLE_FRACTION, given.SEED
+    )
+    rows = scoring.sentiment(
+        unseen, given.submissions(spark, folder), given.bundle(spark, folder)
+    )
+    flags = sum(F.col(name).isin(0, 1).cast("int") for name in given.FLAGS)
+    return rows.select(
+        "timestamp", "c_score", "s_score", "link_id", "state", "comment_id",
+        (flags == len(given.FLAGS)).alias("flagged"),
     )
-    return scoring.flags(scoring.score(unseen, bundle), bundle)
 
 
 @_register

@@ -112,6 +112,16 @@ def sightings(spark: SparkSession, folder: str) -> DataFrame:
     return with_submissions(metadata(spark, folder), submissions(spark, folder))
 
 
+def flagged(spark: SparkSession, folder: str) -> DataFrame:
+    """Comment columns of every sighting of a labelled comment, with its flags."""
+    return metadata(spark, folder).join(label_flags(spark, folder), "id")
+
+
+def comments(spark: SparkSession, folder: str) -> DataFrame:
+    """All comment columns, one row per sighting of a comment that has a body."""
+    return metadata(spark, folder).join(bodies(spark, folder), "id")
+
+
 def sentiment(spark: SparkSession, folder: str) -> DataFrame:
     """Sightings with the flags of their labels."""
     return with_flags(sightings(spark, folder), label_flags(spark, folder))
