@@ -85,6 +85,38 @@ def test_training_repeats_with_its_seed(spark, inputs, trained):
     assert abs(one - two).max() < 1e-9
 
 
+def test_models_do_not_depend_on_how_rows_lie(spark):
+    """More rows than one partition takes, so that folds drawn by partition would differ."""
+    rng = random.Random(5)
+    rows = [
+        (f"c{i}", " ".join(rng.choices(GOOD if i % 3 else BAD, k=2) + rng.choices(FILLER, k=3)), str(1 if i % 3 else -1))
+        for i in range(9000)
+    ]
+    comments = spark.createDataFrame([r[:2] for r in rows], "id string, body string")
+    labeled = spark.createDataFrame([(r[0], r[2]) for r in rows], "Input_id string, labeldem string")
+    fits = [
+        train(labeled, comments.repartition(n), (Target("dem", "labeldem"),), seed=3, evaluate=False, folds=2)
+        for n in (2, 5)
+    ]
+    one, two = (f.bundle.models["dem_pos"].bestModel.coefficients.toArray() for f in fits)
+    assert abs(one - two).max() < 1e-9
+    assert fits[0].cv_auc == pytest.approx(fits[1].cv_auc, abs=1e-5)
+
+
+def test_inputs_may_be_lists_and_settings_are_part_of_the_key(spark, inputs, tmp_path):
+    lines = inputs["rows"]
+    parts = [
+        write_lines(tmp_path / f"part{i}.json", lines[i::2]) for i in range(2)
+    ]
+    out = [str(tmp_path / name) for name in ("one", "two", "three")]
+    settings = {"targets": TARGETS[:1], "fraction": 0.5, "folds": 2}
+    run(spark, inputs["labeled"], parts, [inputs["submissions"]], out[0], **settings)
+    run(spark, inputs["labeled"], str(tmp_path / "part*.json"), inputs["submissions"], out[1], **settings)
+    run(spark, inputs["labeled"], parts, inputs["submissions"], out[2], min_df=50, **settings)
+    read = [open(f"{folder}/time_data.csv").read() for folder in out]
+    assert read[0] == read[1] and read[0].count("\n") == read[2].count("\n")
+
+
 def test_one_pass_equals_join_of_two_outputs(spark, inputs, trained):
     bundle = trained.bundle
     comments = readers.read_comments(spark, inputs["comments"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +87,10 @@ def fit_vocabulary(
         found = stats.count()
         if not found:
             raise ValueError(f"no term occurs in {min_df} texts")
+        if found > size:
+            logging.getLogger(__name__).warning(
+                "the vocabulary keeps %d of %d terms in at least %d texts", size, found, min_df
+            )
         chosen = stats if found <= size else most_frequent(stats, size)
         rows = (
             chosen.select("term")
