@@ -15,7 +15,6 @@ of its equal segments.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -221,8 +220,16 @@ def _segments(docs: pa.Table, told: pa.Table, buckets: int) -> Iterator[tuple[in
         yield 0, b, _packed(name[at].astype(np.uint32), *arrays, raw=body)
 
 
-def repeated_windows(segments: list[bytes], owners: np.ndarray, problem: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """``segment, window starts`` that a segment of the same problem and a smaller owner has.
+Spans = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _joined(parts: list[Spans]) -> Spans:
+    none = tuple(np.zeros(0, np.int64) for _ in range(3))
+    return tuple(np.concatenate(x) for x in zip(none, *parts)) if parts else none
+
+
+def repeated_spans(segments: list[bytes], owners: np.ndarray, problem: np.ndarray) -> Spans:
+    """``segment, start, stop``: what strings of a smaller owner in the same problem cover.
 
     ``problem`` numbers the problems, in rising order.
     """
@@ -230,68 +237,66 @@ def repeated_windows(segments: list[bytes], owners: np.ndarray, problem: np.ndar
     first = np.nonzero(np.diff(problem, prepend=-1))[0]
     last = np.append(first[1:], len(problem))
     room = np.add.reduceat(sizes + 1, first) + 1 if len(first) else np.zeros(0, np.int64)
+    # Problems of like size take their steps together.
     order = np.argsort(room, kind="stable")
-    at = 0
+    total = np.cumsum(room[order])
+    found, at = [], 0
     while at < len(order):
-        upto = max(at + 1, int(np.searchsorted(np.cumsum(room[order[at:]]), BATCH)) + at)
-        chosen = order[at:upto]
-        members = np.concatenate([np.arange(first[p], last[p]) for p in chosen])
-        opens = np.zeros(len(members), bool)
-        opens[np.cumsum([0, *(last[p] - first[p] for p in chosen[:-1])])] = True
-        # Symbols: bytes from 1, separators 0 after every segment and before a problem.
-        lead = np.cumsum(opens)
-        begin = np.cumsum(sizes[members] + 1) - sizes[members] - 1 + lead
-        total = int(begin[-1] + sizes[members[-1]] + 1)
-        symbols = np.zeros(total, np.int64)
-        here = np.repeat(begin - (np.cumsum(sizes[members]) - sizes[members]), sizes[members])
-        joined = np.frombuffer(b"".join([segments[m] for m in members]), np.uint8)
-        symbols[here + np.arange(len(joined))] = joined.astype(np.int64) + 1
-        bounds = np.append(begin[opens] - 1, total)
-        ordered = suffix_arrays(symbols, bounds)
-        segment = np.full(total, -1, np.int64)
-        counts = np.maximum(sizes[members] - WINDOW + 1, 0)
-        starts = np.repeat(begin - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        segment[starts] = np.repeat(np.arange(len(members)), counts)
-        ordered = ordered[segment[ordered] >= 0]
-        if len(ordered):
-            cut = np.zeros(total, np.int64)
-            cut[bounds[:-1]] = 1
-            where = np.cumsum(cut)[ordered]
-            views = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int16), WINDOW)
-            equal = where[1:] == where[:-1]
-            probe = np.nonzero(equal)[0]
-            for i in range(0, len(probe), 1 << 16):
-                p = probe[i : i + (1 << 16)]
-                equal[p] = (views[ordered[p]] == views[ordered[p + 1]]).all(1)
-            fresh = np.nonzero(np.append(True, ~equal))[0]
-            who = owners[members[segment[ordered]]]
-            least = np.repeat(np.minimum.reduceat(who, fresh), np.diff(np.append(fresh, len(ordered))))
-            found = np.sort(ordered[least < who])
-            for k, s in _slices(segment[found]):
-                yield int(members[k]), found[s] - begin[k]
+        done = total[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(total, done + BATCH, side="right")))
+        found.append(_side_by_side(segments, sizes, owners, first[order[at:upto]], last[order[at:upto]]))
         at = upto
-
-
-def _cut_anew(segments: list[bytes], owners: np.ndarray) -> Iterator[tuple[list[int], list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
-    """A crowded problem as problems by longer anchors: origin, pieces, owners, shifts."""
-    sizes = np.array([len(s) for s in segments], np.int64)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    raw = b"".join(segments)
-    text, start, windows, anchor = runs_of(np.frombuffer(raw, np.uint8), bounds, LONG_GRAM)
-    order = np.argsort(anchor, kind="stable")
-    text, start, windows, anchor = text[order], start[order], windows[order], anchor[order]
-    pieces = [raw[a : a + n] for a, n in zip(start.tolist(), (windows + WINDOW - 1).tolist())]
-    new = np.ones(len(anchor), bool)
-    new[1:] = anchor[1:] != anchor[:-1]
-    yield text.tolist(), pieces, owners[text], start - bounds[text], np.cumsum(new) - 1
-
-
-def _spans_of(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of sorted, distinct window starts, as what they cover."""
-    first = np.ones(len(windows), bool)
-    first[1:] = windows[1:] > windows[:-1] + 1
-    first = np.nonzero(first)[0]
-    return windows[first], windows[np.append(first[1:], len(windows)) - 1] + WINDOW
+    return _joined(found)
+
+
+def _side_by_side(
+    segments: list[bytes], sizes: np.ndarray, owners: np.ndarray, first: np.ndarray, last: np.ndarray
+) -> Spans:
+    """The same for some problems, given by their first and last segments."""
+    counts = last - first
+    members = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    size = sizes[members]
+    opens = np.zeros(len(members), bool)
+    opens[np.cumsum(counts) - counts] = True
+    # Symbols: bytes from 1; 0 separates, after every segment and before a problem.
+    begin = np.cumsum(size + 1) - size - 1 + np.cumsum(opens)
+    total = int(begin[-1] + size[-1] + 1)
+    symbols = np.zeros(total, np.int64)
+    joined = np.frombuffer(b"".join([segments[m] for m in members]), np.uint8)
+    symbols[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(joined))] = joined.astype(np.int64) + 1
+    bounds = np.append(begin[opens] - 1, total)
+    ordered = suffix_arrays(symbols, bounds)
+    windows = np.maximum(size - WINDOW + 1, 0)
+    segment = np.full(total, -1, np.int64)
+    starts = np.repeat(begin - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    segment[starts] = np.repeat(np.arange(len(members)), windows)
+    ordered = ordered[segment[ordered] >= 0]
+    if not len(ordered):
+        return _joined([])
+    # Neighbours in the order that begin with the same string form a class.
+    place = np.repeat(np.arange(len(bounds) - 1), counts)[segment[ordered]]
+    views = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.int16), WINDOW)
+    equal = place[1:] == place[:-1]
+    for skip in (0, WINDOW - 8):  # A few symbols tell most apart.
+        for i in range(skip, skip + 8, 4):
+            equal &= symbols[ordered[1:] + i] == symbols[ordered[:-1] + i]
+    probe = np.nonzero(equal)[0]
+    for i in range(0, len(probe), 1 << 16):
+        at = probe[i : i + (1 << 16)]
+        equal[at] = (views[ordered[at]] == views[ordered[at + 1]]).all(1)
+    fresh = np.nonzero(np.append(True, ~equal))[0]
+    who = owners[members[segment[ordered]]]
+    least = np.repeat(np.minimum.reduceat(who, fresh), np.diff(np.append(fresh, len(ordered))))
+    repeated = np.sort(ordered[least < who])
+    if not len(repeated):
+        return _joined([])
+    inside = segment[repeated]
+    new = np.ones(len(repeated), bool)
+    new[1:] = (repeated[1:] != repeated[:-1] + 1) | (inside[1:] != inside[:-1])
+    new = np.nonzero(new)[0]
+    end = repeated[np.append(new[1:], len(repeated)) - 1] + WINDOW
+    inside = inside[new]
+    return members[inside], repeated[new] - begin[inside], end - begin[inside]
 
 
 def _distinct(pieces: list[bytes], owners: np.ndarray, problem: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -303,38 +308,51 @@ def _distinct(pieces: list[bytes], owners: np.ndarray, problem: np.ndarray) -> t
     return number, least, np.array([p for p, _ in seen], np.int64)
 
 
-def _solved(pieces: list[bytes], owners: np.ndarray, problem: np.ndarray, deep: bool = True) -> dict[int, list[np.ndarray]]:
-    """Repeated windows of every piece; ``problem`` numbers the problems from 0, in rising order."""
-    found: dict[int, list[np.ndarray]] = defaultdict(list)
+def _cut_anew(segments: list[bytes], problem: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of crowded problems as pieces with a longer anchor in common.
+
+    The pieces, the segment of each and where in it they start, and their problems.
+    """
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in segments], dtype=np.int64)])
+    raw = b"".join(segments)
+    origin, start, windows, anchor = runs_of(np.frombuffer(raw, np.uint8), bounds, LONG_GRAM)
+    order = np.lexsort((anchor, problem[origin]))
+    origin, start, windows, anchor = origin[order], start[order], windows[order], anchor[order]
+    pieces = [raw[a : a + n] for a, n in zip(start.tolist(), (windows + WINDOW - 1).tolist())]
+    old = problem[origin]
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (old[1:] != old[:-1])
+    return pieces, origin, start - bounds[origin], np.cumsum(new) - 1
+
+
+def _solved(pieces: list[bytes], owners: np.ndarray, problem: np.ndarray, deep: bool = True) -> Spans:
+    """``piece, start, stop`` of what is repeated; ``problem`` counts from 0, in rising order."""
+    if not pieces:
+        return _joined([])
     number, least, of = _distinct(pieces, owners, problem)
+    sizes = np.array([len(p) for p in pieces], np.int64)
     # A piece that a smaller owner has as a whole is repeated as a whole.
-    for i in np.nonzero(least[number] < owners)[0].tolist():
-        found[i].append(np.arange(max(len(pieces[i]) - WINDOW + 1, 0)))
+    late = np.nonzero(least[number] < owners)[0]
+    found = [(late, np.zeros(len(late), np.int64), sizes[late])]
     keepers = np.nonzero(least[number] == owners)[0]
-    holders: dict[int, list[int]] = defaultdict(list)
-    for i in keepers.tolist():
-        holders[number[i]].append(i)
-    text: list[bytes] = [b""] * len(least)
-    for i in keepers.tolist():
-        text[number[i]] = pieces[i]
-    crowd = np.bincount(of, minlength=1)[of] if len(of) else of
-
-    def tell(k: int, windows: np.ndarray) -> None:
-        for i in holders[k]:
-            found[i].append(windows)
-
+    keepers = keepers[np.argsort(number[keepers], kind="stable")]
+    held = np.searchsorted(number[keepers], np.arange(len(least) + 1))
+    text = [pieces[i] for i in keepers[held[:-1]].tolist()]
+    crowd = np.bincount(of)[of]
     plain = np.nonzero((crowd > 1) & ((crowd <= CROWD) | (not deep)))[0]
-    for k, windows in repeated_windows([text[k] for k in plain], least[plain], of[plain]):
-        tell(int(plain[k]), windows)
-    if deep:
-        large = np.nonzero(crowd > CROWD)[0]
-        for _, s in _slices(of[large]):
-            mine = large[s]
-            for origin, parts, who, shift, again in _cut_anew([text[k] for k in mine], least[mine]):
-                for i, windows in _solved(parts, who, again, deep=False).items():
-                    for w in windows:
-                        tell(int(mine[origin[i]]), w + shift[i])
-    return found
+    k, start, stop = repeated_spans([text[i] for i in plain], least[plain], of[plain])
+    parts = [(plain[k], start, stop)]
+    large = np.nonzero(crowd > CROWD)[0] if deep else plain[:0]
+    if len(large):
+        again, origin, shift, anew = _cut_anew([text[i] for i in large], of[large])
+        k, start, stop = _solved(again, least[large][origin], anew, deep=False)
+        parts.append((large[origin[k]], start + shift[k], stop + shift[k]))
+    k, start, stop = _joined(parts)
+    # Every piece that stands for its text has the text's spans.
+    copies = held[k + 1] - held[k]
+    which = np.repeat(held[k] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
+    found.append((keepers[which], np.repeat(start, copies), np.repeat(stop, copies)))
+    return _joined(found)
 
 
 def _repeats(payloads: list[bytes]) -> list[tuple[int, bytes]]:
@@ -350,13 +368,9 @@ def _repeats(payloads: list[bytes]) -> list[tuple[int, bytes]]:
     order = np.argsort(low, kind="stable")
     low, owner, mark, offset, home = low[order], owner[order], mark[order], offset[order], home[order]
     pieces = [pieces[i] for i in order.tolist()]
-    rows: list[tuple[int, int, int, int, int]] = []
     problem = np.cumsum(np.diff(low.astype(np.int64), prepend=-1) != 0) - 1
-    for i, windows in _solved(pieces, owner, problem).items():
-        starts, stops = _spans_of(np.unique(np.concatenate(windows)))
-        for a, b in zip(starts.tolist(), stops.tolist()):
-            rows.append((home[i], owner[i], mark[i], offset[i] + a, offset[i] + b))
-    table = np.array(rows, np.int64).reshape(-1, 5)
+    at, start, stop = _solved(pieces, owner, problem)
+    table = np.stack([home[at].astype(np.int64), owner[at], mark[at], offset[at] + start, offset[at] + stop], 1)
     table = table[np.argsort(table[:, 0], kind="stable")]
     return [(g, _packed(*(table[s, c].copy() for c in range(1, 5)))) for g, s in _slices(table[:, 0])]
 
