@@ -48,7 +48,7 @@ def cases():
     return docs, items
 
 
-@pytest.mark.parametrize("block", [400_000, 7])
+@pytest.mark.parametrize("block", [200_000, 7])
 def test_against_brute_force(spark, cases, block):
     docs, items = cases
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)

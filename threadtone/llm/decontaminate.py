@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from threadtone.llm.common import ascii_lower, stored, text_or_empty, whole_row, without
 
 WINDOW = 13
-#: Windows in one broadcast: about 200 bytes each.
-BLOCK = 400_000
+#: Windows in one broadcast: about 300 bytes each.
+BLOCK = 200_000
 #: What is no word character once ``A`` to ``Z`` are in lower case, and before that.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 RAW_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -62,6 +62,8 @@ def window_hits(
     words = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("id"), words_of(text).alias("words")
     ).select("row", "id", "words", F.size("words").alias("n"))
+    if blocks > 1:  # Every block must see the same numbers.
+        words = stored(words, "decon-words")
     scan = words
     if len(lengths) > 1:
         scan = words.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("length"))
