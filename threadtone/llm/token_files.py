@@ -13,6 +13,7 @@ Paths may be local or any address ``pyarrow.fs`` knows; executors must share the
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import zlib
@@ -28,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from threadtone.llm.common import files, published, text_or_empty
+from threadtone.llm.common import files, published, stored, text_or_empty
 
 END = 2
 KEYS_PER_BUCKET = 100_000
-#: Pieces of text whose ids a worker remembers: at most about 300 MB.
-REMEMBERED = 1_000_000
+#: Pieces of text whose ids a worker remembers: at most about 200 MB.
+REMEMBERED = 800_000
 _MAGIC = b"TTIDS001"
 _FOOTER = "<QQQ8s"
 _SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("first", "<u8"), ("count", "<u4")])
@@ -51,20 +52,37 @@ _PIECE = re.compile(
 )
 
 
+#: Pieces that are one word to the tokenizer, which its model can take directly.
+_WORD = re.compile(rf" ?(?:[{_LETTER}]+|[{_SIGN}]+)")
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for what follows U+00FF.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class Encoder:
     """Ids of texts as bytes; the library encodes each distinct piece of text once.
 
     The split into pieces holds for byte-level BPE with the usual word pattern, which
     ends a token before any run of white space that follows other characters, and
     between letters and ASCII punctuation other than the apostrophe.  With another
-    tokenizer whole texts go to the library.
+    tokenizer, and where a text spells an added token, whole texts go to the library.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # A task has one core.
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.type = f"<u{self.width}"
         self.known: dict[str, bytes] = {}
+        self.letters = dict(enumerate(_byte_letters()))
         parts = json.loads(self.tokenizer.to_str())
         before = parts["pre_tokenizer"] or {}
         self.in_pieces = (
@@ -72,24 +90,35 @@ class Encoder:
             and before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or _PIECE.findall(t["content"]) != [t["content"]] for t in parts["added_tokens"])
+            and parts["model"].get("type") == "BPE"
         )
+        self.added = [token["content"] for token in parts["added_tokens"]]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
+    def _piece(self, piece: str) -> bytes:
+        if _WORD.fullmatch(piece):
+            found = self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
+            ids = [token.id for token in found]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.in_pieces:
-            return self._library(texts)
+        whole = [not self.in_pieces or any(a in x for a in self.added) for x in texts]
+        if any(whole):
+            rest = iter(self([x for x, w in zip(texts, whole) if not w]) if not all(whole) else [])
+            done = iter(self._library([x for x, w in zip(texts, whole) if w]))
+            return [next(done if w else rest) for w in whole]
         pieces = [_PIECE.findall(x) for x in texts]
-        new = list(set().union(*pieces).difference(self.known))
+        new = set().union(*pieces).difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
-            new = list(set().union(*pieces))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.known.update(zip(part, self._library(part)))
+            new = set().union(*pieces)
+        for piece in new:
+            self.known[piece] = self._piece(piece)
         ids = self.known.__getitem__
         return [b"".join(map(ids, x)) for x in pieces]
 
@@ -104,7 +133,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def _texts(column: pa.Array, size: int = 4 << 20) -> Iterator[list[str]]:
+def _texts(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str]]:
     """The texts in order, in lists of about ``size`` characters."""
     taken, total = [], 0
     for value in column:
@@ -178,7 +207,9 @@ def write_token_files(
     ordered.mapInArrow(run, schema).write.parquet(f"{folder}/records")
     records = spark.read.schema(schema).parquet(f"{folder}/records").filter("key is not null")
     buckets = max(1, -(-records.count() // keys_per_bucket))
-    spark.createDataFrame([(buckets, kind)], "buckets long, kind string").coalesce(1).write.json(f"{folder}/layout")
+    shards = spark.read.parquet(f"{folder}/records").agg(F.max("shard")).first()[0]
+    layout = spark.createDataFrame([(buckets, (shards or 0) + 1, kind)], "buckets long, shards long, kind string")
+    layout.coalesce(1).write.json(f"{folder}/layout")
     keyed = records.groupBy("key").agg(
         F.min("shard").alias("shard"), F.min("record").alias("first"), F.count("*").alias("count")
     )
@@ -310,7 +341,8 @@ def find_keys(keys: DataFrame, folder: str) -> DataFrame:
                     | {n: slot[n][held].astype(np.int64) for n in ("shard", "first", "count")}
                 )
 
-    dealt = wanted.repartition("bucket").sortWithinPartitions("bucket")
+    # A task for each bucket: adaptive execution would join tasks of so few bytes.
+    dealt = wanted.repartitionByRange(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInPandas(run, f"key {kind}, shard int, first long, count long")
 
 
@@ -357,7 +389,9 @@ def read_records(found: DataFrame, folder: str, digests: bool = False) -> DataFr
             yield pd.DataFrame(rows, columns=["key", "shard", "position", *names])
 
     what = "n_tokens long, ids_crc32 long" if digests else "ids array<long>"
-    dealt = found.repartition("shard").sortWithinPartitions("shard", "first")
+    shards = found.sparkSession.read.json(f"{folder}/layout").first()["shards"]
+    places = stored(found, "token-places")
+    dealt = places.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "first")
     return dealt.mapInPandas(run, f"key {kind}, shard int, position long, {what}")
 
 
