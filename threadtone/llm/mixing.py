@@ -18,7 +18,7 @@ from threadtone.llm.common import BLANK, stored, text_or_empty, whole_row
 
 LEVELS = ("domain", "lang", "source")
 #: Documents of a source that share a stretch of its permutation.
-STRETCH = 10_000
+STRETCH = 1_000
 #: Sources whose budgets are broadcast; more are joined by shuffle.
 BROADCAST_LEAVES = 100_000
 
