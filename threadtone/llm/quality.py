@@ -8,16 +8,18 @@ texts, which is all that reaches the driver; every text is scored in tasks.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from threadtone.llm.common import only, stored
+from threadtone.llm.common import stored
 
 #: Features are hashed into so many weights.
 WIDTH = 1 << 18
@@ -29,6 +31,7 @@ MIN_ROWS = 8
 THRESHOLD = 0.6
 #: Distinct tokens a worker remembers.
 REMEMBERED = 1_000_000
+_JUDGED = StructType([StructField("expected_grade", DoubleType()), StructField("tail", DoubleType())])
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 
 
@@ -181,31 +184,29 @@ def fit_quality(
     return fit_ordinal(vectors, taken["grade"].to_numpy(), levels)
 
 
-def graded(docs: DataFrame, model: Ordinal, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, expected_grade, tail`` of every row: the tail is P(the highest grade).
-
-    Null and empty texts are judged by the features of an empty text.  Equal texts get
-    equal results, so repeated rows do.  Other columns are not read.
-    """
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+def judge(model: Ordinal) -> Callable[[Column], Column]:
+    """A function of a text column: its ``expected_grade`` and ``tail``, P(the highest grade)."""
     parts = model.weights, model.used, model.thresholds
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf(_JUDGED)
+    def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ordinal = Ordinal(*parts)
         features = Features(len(ordinal.weights))
-        for batch in batches:
-            scores = [ordinal.score(features(x.as_py())) for x in batch.column(1)]
-            tails = ordinal.tails(np.array(scores, np.float64))
-            columns = [batch.column(0), pa.array(tails.sum(1)), pa.array(tails[:, -1])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "expected_grade", "tail"])
+        for texts in batches:
+            scores = [ordinal.score(features(text)) for text in texts]
+            tails = ordinal.tails(np.array(scores, np.float64)).round(6)
+            yield pd.DataFrame({"expected_grade": tails.sum(1).round(6), "tail": tails[:, -1]})
 
-    found = rows.mapInArrow(run, f"id {kind}, expected_grade double, tail double")
-    return found.select(
-        F.col("id").alias(key),
-        F.round("expected_grade", 6).alias("expected_grade"),
-        F.round("tail", 6).alias("tail"),
-    )
+    return judged
+
+
+def graded(docs: DataFrame, model: Ordinal, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, expected_grade, tail`` of every row.
+
+    Null and empty texts are judged by the features of an empty text.  Equal texts get
+    equal results, so repeated rows do.  Other columns are not read.
+    """
+    return docs.select(key, judge(model)(F.col(text)).alias("judged")).select(key, "judged.*")
 
 
 def good_documents(
@@ -213,7 +214,7 @@ def good_documents(
 ) -> DataFrame:
     """The rows of ``docs`` whose chance of the highest grade reaches ``threshold``.
 
-    A key that repeats is kept if one of its rows is.
+    Every row is judged by itself and where it lies; no text is shuffled.
     """
-    found = graded(docs, fit_quality(docs, grades, key=key, text=text), key, text)
-    return only(docs, stored(found.filter(F.col("tail") >= threshold).select(key), "quality-kept"), key)
+    model = fit_quality(docs, grades, key=key, text=text)
+    return docs.where(judge(model)(F.col(text))["tail"] >= threshold)

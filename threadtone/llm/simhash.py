@@ -186,7 +186,9 @@ def links(points: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"),
         "fp",
     )
-    dealt = whole.unionByName(crowded).repartition("bucket", "i", "j")
+    # A number of its own: the rows are few for the work they are.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = whole.unionByName(crowded).repartition(tasks, "bucket", "i", "j")
     dealt = dealt.sortWithinPartitions("bucket", "i", "j")
     return dealt.mapInPandas(partial(_links_of, radius=radius), "u long, v long").distinct()
 
