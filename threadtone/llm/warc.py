@@ -179,7 +179,7 @@ def _written(records: Iterator[tuple[list[tuple[str, str]], bytes]], folder: str
 def _paths(spark: SparkSession, folder: str) -> DataFrame:
     """The files of a folder, each in a task of its own."""
     summary = spark.read.schema("file string, records long").parquet(f"{folder}/summary")
-    return summary.select("file").repartition("file")
+    return summary.select("file").repartitionByRange(max(1, summary.count()), "file")
 
 
 def read_records(spark: SparkSession, folder: str, kinds: tuple[str, ...] = ()) -> DataFrame:
