@@ -32,9 +32,11 @@ WINDOW = 50
 GRAM, LONG_GRAM = 20, 40
 GROUP_BYTES = 8 << 20
 #: Texts are hashed in pieces of about so many bytes.
-PIECE = 2 << 20
+PIECE = 1 << 20
+#: Rows whose anchors are announced together.
+ROWS = 3000
 #: Symbols that are sorted side by side, and segments from which a problem is cut anew.
-BATCH, CROWD = 1 << 20, 12
+BATCH, CROWD = 1 << 19, 12
 _NOBODY = np.iinfo(np.int64).min
 _PARTS = "kind int, part int, payload binary"
 
@@ -429,7 +431,8 @@ def without_seen_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _announced(batch, parts, parts)
+            for at in range(0, batch.num_rows, ROWS):
+                yield from _announced(batch.slice(at, ROWS), parts, parts)
 
     def gathered(function, kind: int):
         def run(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
