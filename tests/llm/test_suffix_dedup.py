@@ -112,3 +112,20 @@ def test_odd_rows(odd_docs, no_docs):
     lengths = {r.doc_id: len(r.kept) for r in without_seen_bytes(odd_docs).filter("doc_id in (4, 6)").collect()}
     assert lengths == {4: 400_000, 6: 1}  # All but what the last byte ends is in the smaller one.
     assert without_seen_bytes(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("keys", [[None] * 400, [7] * 400, [i * 21 for i in range(400)]])
+def test_rows_of_one_key_spread_over_groups(spark, keys):
+    rows = [(k, f"text {i}") for i, k in enumerate(keys)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [r["count"] for r in suffix_dedup._dealt(docs, "doc_id", "text", 21).groupBy("part").count().collect()]
+    assert len(sizes) == 21 and max(sizes) < 50
+
+
+def test_crowded_keys(spark):
+    pick = random.Random(11)
+    text = lambda: "".join(pick.choice("abc") for _ in range(90))
+    rows = [(pick.choice([None, 7]), text()) for _ in range(60)]
+    rows += [(i, rows[pick.randrange(60)][1][10:80] + text()) for i in (1, 3, 9, 11)] + [(None, rows[0][1]), (7, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(without_seen_bytes(docs, group_bytes=500)) == brute(rows)

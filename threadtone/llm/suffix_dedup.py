@@ -7,9 +7,9 @@ anchors of only one document are left out.  Segments meet by anchor; equal segme
 become one; and where different segments share an anchor, their suffix arrays, built by
 linear grouping (``suffix_array``), bring equal strings next to each other.
 
-Documents and anchors are dealt into groups and buckets by number, about ``GROUP_BYTES``
-of text each, so every group has a bounded size and skew is met before the shuffle: a
-task tells a bucket once of an anchor that several of its documents have, and sends one
+Documents, by a hash of key and text, and anchors are dealt into groups and buckets of about
+``GROUP_BYTES`` of text each.  Rows of one key spread over the groups; only rows that are
+equal in key and text share one.  Skew of anchors is met before the shuffle: a task tells a bucket once of an anchor that several of its documents have, and sends one
 of its equal segments.
 """
 
@@ -407,6 +407,20 @@ def _applied(docs: pa.Table, told: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, ["id", "n_bytes", "removed", "kept"])
 
 
+def _dealt(docs: DataFrame, key: str, text: str, parts: int) -> DataFrame:
+    """``part, id, t, data``: rows dealt by key and text, so no key or step of keys is crowded."""
+    raw = text_or_empty(text)
+    # Null keys get the largest number, and their rows are told apart by their text.
+    whole = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
+    mark = F.xxhash64(raw)
+    return docs.select(
+        F.pmod(F.xxhash64(whole, mark), F.lit(parts)).cast("int").alias("part"),
+        whole.alias("id"),
+        mark.alias("t"),
+        raw.cast("binary").alias("data"),
+    )
+
+
 def without_seen_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
     """``key, n_bytes, removed, kept`` of every row.
 
@@ -416,18 +430,10 @@ def without_seen_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text",
     same document: neither is before the other, and each is judged by its own text.  An
     empty table gives an empty one.  Other columns are not read.
     """
-    spark = docs.sparkSession
     raw = text_or_empty(text)
     total = docs.agg(F.coalesce(F.sum(F.octet_length(raw).cast("long")), F.lit(0))).first()[0]
-    parts = -(-total // group_bytes) | 1  # An odd number deals even steps of keys evenly.
-    # Null keys get the largest number, and their rows are told apart by their text.
-    whole = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
-    rows = docs.select(
-        F.pmod(whole, F.lit(parts)).cast("int").alias("part"),
-        whole.alias("id"),
-        F.xxhash64(raw).alias("t"),
-        raw.cast("binary").alias("data"),
-    )
+    parts = max(1, -(-total // group_bytes))
+    rows = _dealt(docs, key, text, parts)
 
     def announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
