@@ -10,7 +10,7 @@ from threadtone.llm.sql import ORACLES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, testdata, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{testdata}/{table}.parquet'")
     result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]

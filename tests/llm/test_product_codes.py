@@ -1,0 +1,157 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from threadtone.llm.product_codes import (
+    FARTHEST, Lists, adapted, all_distances, assign_all, label_errors, moved, product_codes, reassign,
+)
+
+
+def brute(rows, parts=16, entries=64, rounds=2):
+    """``{(key, label, vector): (code, error)}`` and codebooks, by plain loops."""
+    kept = []
+    for key, vector, label in rows:
+        if vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            whole = [int(max(-FARTHEST, min(FARTHEST, math.floor(256 * x)))) for x in vector]
+            kept.append((key is None, key, whole, label))
+    kept.sort(key=lambda r: (r[0], r[1] or 0, r[2]))
+    if not kept:
+        return [], []
+    length = len(kept[0][2])
+    kept = [r for r in kept if len(r[2]) == length]
+    width = -(-length // parts)
+
+    def cut(v):
+        v = v + [0] * (parts * width - length)
+        return [v[p * width : (p + 1) * width] for p in range(parts)]
+
+    cuts = [cut(r[2]) for r in kept]
+    books = [[c[p] for c in cuts[:entries]] for p in range(parts)]
+
+    def nearest(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), j) for j, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            own = {}
+            for c in cuts:
+                own.setdefault(nearest(c[p], books[p])[1], []).append(c[p])
+            books[p] = [
+                [sum(x) // len(own[j]) for x in zip(*own[j])] if j in own else e
+                for j, e in enumerate(books[p])
+            ]
+    out = []
+    for r, c in zip(kept, cuts):
+        found = [nearest(x, b) for x, b in zip(c, books)]
+        out.append((r[1], r[3], bytes(j for _, j in found), sum(d for d, _ in found)))
+    return sorted(out, key=repr), books
+
+
+def checked(spark, rows, **settings):
+    vectors = spark.createDataFrame(
+        [(*r, "x", "y") for r in rows], "vec_id long, embedding array<float>, label int, id string, parts string"
+    ).repartition(3)
+    coded = product_codes(vectors, **settings)
+    expect, books = brute([(r.vec_id, r.embedding, r.label) for r in vectors.collect()], **settings)
+    got = sorted(((r.id, r.label, bytes(r.code), r.error) for r in coded.rows.collect()), key=repr)
+    assert got == expect
+    assert coded.books.tolist() == books
+    sums = {}
+    for _, label, _, error in expect:
+        sums[label] = sums.get(label, 0) + error
+    assert {(r.label, r.label_error) for r in label_errors(coded.rows).collect()} == set(sums.items())
+    return coded
+
+
+def test_against_loops(spark):
+    draw = np.random.default_rng(1)
+    middles = draw.normal(size=(9, 32))
+    rows = [(int(i), (middles[i % 9] + draw.normal(size=32) / 4).tolist(), int(i % 4)) for i in draw.permutation(300)]
+    checked(spark, rows)
+    checked(spark, rows, parts=4, entries=20, rounds=4)
+    checked(spark, rows, parts=8, entries=1, rounds=1)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(5, None, 1), (6, [1.0, None, 0.0], 1), (7, [nan, 0.0, 0.0], None), (8, [0.0, inf, 0.0], 2), (9, [-inf, 0.0, 1.0], 2)]
+    rows += [(1, [0.5, -0.001, 1e30], 1), (1, [0.5, -0.001, 1e30], 1), (2, [-1e38, 0.25, 0.0], None), (None, [0.0, 0.0, 0.0], None)]
+    rows += [(3, [0.0, 0.0], 1), (4, [], 1), (10, [0.1, 0.2, 0.3], None), (11, [0.1, 0.2, 0.3], 7), (12, [0.1, 0.2, 0.3, 0.4], 7)]
+    coded = checked(spark, rows)
+    assert coded.rows.count() == 6
+    checked(spark, rows, parts=1, entries=2)
+
+
+def test_ties_go_to_the_lower_entry(spark):
+    rows = [(i, [float(i % 2)] * 16, None) for i in range(80)] + [(200, [0.5] * 16, 1)]
+    coded = checked(spark, rows)
+    codes = {r.id: bytes(r.code) for r in coded.rows.collect()}
+    # The vector in the middle ties into entry 0, whose mean then leaves entry 2 nearer.
+    assert codes[0] == codes[78] == b"\2" * 16 and codes[1] == codes[79] == b"\1" * 16
+
+
+def test_no_vectors(spark):
+    empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    coded = product_codes(empty)
+    assert coded.rows.count() == 0 and label_errors(coded.rows).count() == 0 and coded.books.size == 0
+    with pytest.raises(ValueError):
+        product_codes(empty, entries=300)
+
+
+@pytest.mark.parametrize("spread", [0.02, 0.5, 4.0])
+def test_bounds_decide_as_all_distances_do(spread):
+    """Codebooks that move little, middling and far, round after round."""
+    draw = np.random.default_rng(3)
+    parts = draw.integers(-60, 60, (700, 5, 3))
+    parts[100:200] = parts[:100]
+    books = draw.integers(-60, 60, (5, 40, 3))
+    lists, best = assign_all(parts, books)
+    skipped = 0
+    for _ in range(6):
+        target = np.rint(books + spread * draw.normal(size=books.shape) * 10).astype(np.int64)
+        target[:, 7] = target[:, 3]
+        moves = np.nextafter(np.sqrt(((target - books) ** 2).sum(-1)), np.inf)
+        books = target
+        lists, best, depth = reassign(parts, books, moves, lists)
+        every = all_distances(parts, books)
+        assert (lists.near[..., 0] == every.argmin(-1)).all() and (best == every.min(-1)).all()
+        listed = np.take_along_axis(every, lists.near.astype(np.int64), -1)
+        assert (lists.lower <= np.sqrt(listed[..., 1:])).all()
+        rest = every.copy()
+        np.put_along_axis(rest, lists.near.astype(np.int64), np.iinfo(np.int64).max, -1)
+        assert (lists.outer <= np.sqrt(rest.min(-1))).all()
+        skipped += (depth == 0).sum()
+        lists = adapted(parts, books, lists, depth)
+    assert skipped > (5000 if spread < 0.1 else 0) or spread > 1
+
+
+def test_lists_adapt():
+    draw = np.random.default_rng(4)
+    parts, books = draw.integers(-50, 50, (200, 4, 2)), draw.integers(-50, 50, (4, 64, 2))
+    lists, _ = assign_all(parts, books, 8)
+    still = np.zeros((200, 4), np.int64)
+    short = adapted(parts, books, lists, still)
+    assert short.near.shape[-1] == 2 and (short.outer == lists.lower[..., 1]).all()
+    assert adapted(parts, books, lists, still + 8).near.shape[-1] == 16
+    assert isinstance(short, Lists)
+
+
+def test_unused_entries_stay():
+    books = np.array([[[5, 5], [9, 9]]])
+    totals = np.array([[[-7, 3, 2], [0, 0, 0]]])
+    means, far = moved(books, totals)
+    assert means.tolist() == [[[-4, 1], [9, 9]]] and far[0, 1] < 1e-9
+
+
+def test_query_digest(spark, testdata):
+    from threadtone.llm.queries import QUERIES
+
+    row = QUERIES["op13_product_codes"](spark, testdata).first()
+    table = spark.read.parquet(f"{testdata}/embeddings.parquet")
+    books = product_codes(table).books
+    text = ",".join(str(x) for part in books.tolist() for entry in part for x in entry)
+    assert row.codebooks_sha256 == hashlib.sha256(text.encode()).hexdigest() and len(row.code) == 32
+    assert table.where(F.col("vec_id") == row.vec_id).count() == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 from threadtone.llm.common import table
 from threadtone.llm.decontaminate import contamination
 from threadtone.llm.exact_dedup import exact_dedup
+from threadtone.llm.fill_in_middle import fill_in_middle, restored
+from threadtone.llm.language_id import fit_languages, held_out, languages_of
 from threadtone.llm.mixing import mix
+from threadtone.llm.product_codes import label_errors, product_codes
 from threadtone.llm.quality import THRESHOLD, fit_quality, grade_of, graded
 from threadtone.llm.sharding import balanced_shards
 from threadtone.llm.simhash import near_duplicates
@@ -154,6 +158,40 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    found = languages_of(docs, fit_languages(docs, ~held_out()))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its lines cut at two ranks, and the text made whole again."""
+    made = fill_in_middle(table(spark, folder, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_product_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The code of every vector, its error and that of its label."""
+    coded = product_codes(table(spark, folder, "embeddings"))
+    numbers = ",".join(map(str, coded.books.ravel().tolist()))
+    return label_errors(coded.rows).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(hashlib.sha256(numbers.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -165,4 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_product_codes": op13_product_codes,
 }

@@ -35,6 +35,54 @@ _SQUEEZED = (
     rf"trim(regexp_replace(translate(unit, '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+', ' ', 'g'))"
 )
 
+
+
+def _product_codes(rounds: int = 2) -> str:
+    """Plain assignments and means over all pairs of a part and an entry."""
+
+    def assigned(i: int) -> str:
+        return f"""
+a{i} AS (
+  SELECT vec_id, label, p, x, j, list_sum([(x[i] - c[i]) * (x[i] - c[i]) for i in range(1, 5)]) AS d
+  FROM v JOIN c{i} USING (p)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY d, j) = 1
+)"""
+
+    def entries(i: int) -> str:
+        return f"""
+m{i} AS (
+  SELECT p, j, i, sum(x[i]) AS s, count(*) AS n FROM a{i}, range(1, 5) r(i) GROUP BY p, j, i
+),
+c{i + 1} AS (
+  SELECT c{i}.p, c{i}.j, coalesce(u.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+    SELECT p, j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM m{i} GROUP BY p, j
+  ) u USING (p, j)
+)"""
+
+    steps = [part for i in range(rounds) for part in (assigned(i), entries(i))]
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+v AS (SELECT vec_id, label, p, e[p * 4 + 1 : p * 4 + 4] AS x FROM k, range(16) r(p)),
+c0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS j, x AS c FROM v
+  WHERE vec_id IN (SELECT vec_id FROM k ORDER BY vec_id LIMIT 64)
+),{",".join(steps)},{assigned(rounds)},
+b AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{rounds}
+),
+r AS (
+  SELECT vec_id, label, string_agg(printf('%02x', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM r, b
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": rf"""
 WITH u AS (
@@ -143,4 +191,32 @@ SELECT doc_id,
 FROM d
 WINDOW best AS (PARTITION BY norm ORDER BY n DESC, doc_id)
 """,
+    "op12_fill_in_middle": r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS s,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u
+  FROM documents
+),
+g AS (
+  SELECT *, len(u) AS n, CAST('0x' || s[1:8] AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || s[9:16] AS BIGINT) % (len(u) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || s[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+              WHEN CAST('0x' || s[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+),
+c AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS a,
+         array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS b,
+         array_to_string(u[greatest(x, y) + 1:], '') AS z
+  FROM g
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b
+              ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+""",
+    "op13_product_codes": _product_codes(),
 }
