@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -61,3 +61,38 @@ def random_split(
     df: DataFrame, weights: Sequence[float], seed: int
 ) -> list[DataFrame]:
     return df.randomSplit(list(weights), seed)
+
+
+def stratified_folds(
+    df: DataFrame, key: str, classes: Sequence[str], folds: int, seed: int, stretches: int = 1024
+) -> DataFrame:
+    """``key`` and ``fold_<class>`` from 0, for each column of ``classes``, once per key.
+
+    Within each value of a class the keys are numbered in hash order and dealt out in
+    turn, so every value with at least ``folds`` keys is in every fold and fold sizes
+    differ by one at most for a value.  A key with several values counts for the largest;
+    NULL is a value, and a key, of its own.
+
+    The numbers come from counts: hashes fall into ``stretches``, and a row's number is
+    what the stretches before hold plus its place in its own.  No task sorts a value.
+    """
+    names = [f"fold_{c}" for c in classes]
+    own = df.groupBy(F.col(key).alias("__key")).agg(*(F.max(c).cast("string").alias(c) for c in classes))
+    pairs = F.array(*(F.struct(F.lit(n).alias("name"), F.col(c).alias("value")) for n, c in zip(names, classes)))
+    rows = own.select("__key", F.inline(pairs)).withColumn("at", unit_hash(F.col("__key"), seed))
+    rows = rows.withColumn("stretch", F.floor(F.col("at") * stretches))
+    sizes = rows.groupBy("name", "value", "stretch").agg(F.count("*").alias("size"))
+    upto = Window.partitionBy("name", "value").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        F.col("name").alias("__n"), F.col("value").alias("__v"), F.col("stretch").alias("__s"),
+        F.coalesce(F.sum("size").over(upto), F.lit(0)).alias("before"),
+    )
+    inside = Window.partitionBy("name", "value", "stretch").orderBy("at", "__key")
+    ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(
+        sizes,
+        (F.col("name") == F.col("__n")) & F.col("value").eqNullSafe(F.col("__v")) & (F.col("stretch") == F.col("__s")),
+    )
+    fold = ((F.col("before") + F.col("place")) % folds).cast("int")
+    return ranked.groupBy(F.col("__key").alias(key)).agg(
+        *(F.max(F.when(F.col("name") == n, fold)).alias(n) for n in names)
+    )

@@ -21,7 +21,7 @@ from threadtone.constants import (
     TRAIN_FRACTION,
     VOCABULARY_SIZE,
 )
-from threadtone.functions.sampling import hash_parts, unit_hash
+from threadtone.functions.sampling import hash_parts, stratified_folds
 from threadtone.functions.scalars import negative_label, positive_label
 from threadtone.functions.text import with_grams
 from threadtone.operators.classifier import (
@@ -34,8 +34,8 @@ from threadtone.operators.classifier import (
 from threadtone.operators.joins import labelled_comments
 from threadtone.operators.vocabulary import fit_vocabulary
 from threadtone.session import fresh_path
-from threadtone.sources.filesystem import file_system
-from threadtone.sources.writers import remove, write_table, write_then_read
+from threadtone.sources.filesystem import exists, private_path, remove, replaced, settled
+from threadtone.sources.writers import write_table, write_then_read
 
 # Each pass over the data costs every partition a gradient as long as the
 # vocabulary, so a partition should hold rows enough to be worth one.
@@ -89,13 +89,17 @@ class Bundle:
     models: dict[str, CrossValidatorModel]
 
     def save(self, folder: str) -> None:
-        """Write all models below ``folder``, replacing what is there."""
+        """Write all models to ``folder``, replacing what is there once all are written."""
+        spark = SparkSession.getActiveSession()
+        attempt = private_path(folder)
+        self._write(attempt)
+        replaced(spark, attempt, folder)
 
+    def _write(self, folder: str) -> None:
         def save_one(name: str) -> None:
-            path = f"{folder}/{name}.model"
-            self.models[name].write().overwrite().save(path)
+            self.models[name].write().save(f"{folder}/{name}.model")
 
-        self.vocabulary.write().overwrite().save(f"{folder}/vocabulary")
+        self.vocabulary.write().save(f"{folder}/vocabulary")
         _each(save_one, list(self.models))
 
     @classmethod
@@ -143,7 +147,8 @@ def train(
     """Fit the vocabulary on all labelled comments and the models on half of them.
 
     The split and the folds go by comment id, so they are the same on every run and
-    cluster.  As many folds are fitted at a time as the cluster has room for.  The
+    cluster.  Each model's folds are dealt out within its two classes, so a rare class is
+    in all of them.  As many folds are fitted at a time as the cluster has room for.  The
     gram table, from which the vocabulary and every model start, is stored for the time
     of the training.
     """
@@ -152,11 +157,14 @@ def train(
     grams = write_then_read(labelled_grams(labeled, comments, targets), home)
     vocabulary = fit_vocabulary(grams, min_df=min_df, size=vocabulary_size)
     names = label_columns(targets)
-    features = vocabulary.transform(grams).select("Input_id", *names, "vectorized")
     partitions = max(1, ceil(grams.count() / ROWS_PER_PARTITION))
     halves = (TRAIN_FRACTION, 1.0 - TRAIN_FRACTION)
-    fold = F.floor(unit_hash(F.col("Input_id"), seed + FOLD_SEED) * folds).cast("int")
-    features = hash_parts(features.withColumn("fold", fold), "Input_id", halves, seed)
+    parts = hash_parts(grams, "Input_id", halves, seed)
+    dealt = stratified_folds(
+        parts.where("part = 1").select("Input_id", *names), "Input_id", names, folds, seed + FOLD_SEED
+    ).withColumnRenamed("Input_id", "__id")
+    features = vocabulary.transform(parts).select("Input_id", *names, "part", "vectorized")
+    features = features.join(dealt, F.col("Input_id").eqNullSafe(F.col("__id")), "left").drop("__id")
     # Rows are dealt out in turn, so copies of one comment cannot fill a partition.
     features = features.repartition(partitions).sortWithinPartitions("Input_id").persist()
     slots = spark.sparkContext.defaultParallelism
@@ -168,7 +176,7 @@ def train(
     def fit(name: str) -> tuple[str, CrossValidatorModel, float | None]:
         model = cross_validate(
             learn, name, seed=seed, grid=grid, folds=folds,
-            parallelism=folds_at_a_time, fold="fold",
+            parallelism=folds_at_a_time, fold=f"fold_{name}",
         )
         return name, model, holdout_auc(model, held_out, name) if evaluate else None
 
@@ -194,13 +202,16 @@ def train_once(
 ) -> str:
     """Models and metrics below ``home``, trained unless they are there already.
 
-    The metrics are written last, so their marker vouches for the models.
+    They are written to a folder of this training's own, the metrics last, which is then
+    renamed: of two trainings at once both go on with the models of the first to finish.
     ``settings`` go to ``train``.
     """
     spark = comments.sparkSession
-    fs, done = file_system(spark, f"{home}/metrics/_SUCCESS")
-    if not fs.exists(done):
+    marker = "metrics/_SUCCESS"
+    if not exists(spark, f"{home}/{marker}"):
         outcome = train(labeled, comments, targets, seed, **settings)
-        outcome.bundle.save(home)
-        write_table(outcome.metrics(spark), f"{home}/metrics")
+        attempt = private_path(home)
+        outcome.bundle._write(attempt)
+        write_table(outcome.metrics(spark), f"{attempt}/metrics")
+        settled(spark, attempt, home, marker)
     return home
