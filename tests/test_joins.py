@@ -28,6 +28,22 @@ def comments(spark):
     )
 
 
+def test_labels_beyond_the_limit_go_in_blocks(spark):
+    labeled = spark.createDataFrame([(f"c{i % 700}", str(i % 3), "x") for i in range(1000)], "Input_id string, a string, b string")
+    bodies = spark.createDataFrame([(f"c{i}", f"text {i}") for i in range(900)], "id string, body string")
+    whole = labelled_comments(labeled, bodies, ["a", "b"])
+    cut = labelled_comments(labeled, bodies, ["a", "b"], most=100)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    plan = plan_of(cut)
+    assert plan.count("BroadcastHashJoin") >= 10 and "SortMergeJoin" not in plan
+    # The only exchanges are broadcasts: no body is shuffled.
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    # Equal rows cannot be parted; then both sides are shuffled.
+    equal = spark.createDataFrame([("c1", "1", "x")] * 50, "Input_id string, a string, b string")
+    found = labelled_comments(equal, bodies, ["a", "b"], most=10)
+    assert found.count() == 50 and "SortMergeJoin" in plan_of(found)
+
+
 def test_labelled_comments(spark):
     labeled = spark.createDataFrame(
         [("c1", "1", "x"), ("c1", "0", "y"), ("c9", "1", "z"), (None, "1", "n")],

@@ -2,13 +2,14 @@
 
 Spark broadcasts a side when its size estimate, or its real size once a shuffle has
 run, is under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise; only
-the labelled set, once counted, is broadcast by hint.  In a sort-merge join, adaptive
+the labelled set, once counted, is broadcast by hint, in blocks if need be.  In a sort-merge join, adaptive
 execution splits the partition of a hot key over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +29,38 @@ def labelled_comments(
     """Label columns and body of every labelled comment.
 
     The labels are counted.  Up to ``most`` rows, an id and a few short values each,
-    they are broadcast, and no body is shuffled; beyond that both sides are.
+    they are broadcast; beyond that they are cut by hash into blocks of at most ``most``
+    rows, which are broadcast one after the other, each with a pass over the comments.
+    No body is shuffled.  Only if so many labelled rows are equal in every column that
+    no cut parts them, or with ``most`` at 0, both sides are shuffled.
     """
     narrow = labeled.select("Input_id", *labels)
-    narrow = F.broadcast(narrow) if labeled.count() <= most else narrow.hint("merge")
-    return comments.select("id", "body").join(
-        narrow, F.col("id") == F.col("Input_id")
-    ).select("Input_id", *labels, "body")
+    bodies = comments.select("id", "body")
+
+    def joined(block: DataFrame) -> DataFrame:
+        return bodies.join(block, F.col("id") == F.col("Input_id")).select("Input_id", *labels, "body")
+
+    rows = labeled.count()
+    if rows <= most:
+        return joined(F.broadcast(narrow))
+    blocks = _blocks(narrow, -(-rows // most), most) if most > 0 else 0
+    if not blocks:
+        return joined(narrow.hint("merge"))
+    parts = [joined(F.broadcast(narrow.where(_block(narrow, blocks) == i))) for i in range(blocks)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _block(rows: DataFrame, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(*rows.columns), F.lit(blocks))
+
+
+def _blocks(rows: DataFrame, least: int, most: int) -> int:
+    """How many blocks it takes for none to have over ``most`` rows; 0 if none do."""
+    for blocks in (least, -(-least * 5 // 4), 2 * least, 4 * least):
+        sizes = rows.groupBy(_block(rows, blocks).alias("block")).count()
+        if sizes.agg(F.max("count")).first()[0] <= most:
+            return blocks
+    return 0
 
 
 def with_submissions(
