@@ -1,6 +1,7 @@
 import bz2
 import json
 import os
+import threading
 
 import pytest
 
@@ -81,9 +82,38 @@ def test_comments_json_bz2(spark, tmp_path):
 @pytest.mark.parametrize("name", ["bodies.json", "bodies.json.bz2"])
 def test_clean_bodies(spark, tmp_path, name):
     texts = ["Hello, world... yes", "see http://x.y now", "", "café -- [a](b)"]
-    path = write_lines(tmp_path / name, [{"body": t, "id": "1"} for t in texts])
-    got = {tuple(r) for r in clean_bodies(spark, path).collect()}
+    path = write_lines(tmp_path / name, [*({"body": t, "id": "1"} for t in texts), '{"body": "cut'])
+    quarantine = str(tmp_path / "quarantine")
+    got = {tuple(r) for r in clean_bodies(spark, path, quarantine).collect()}
     assert got == {cleaned(t) for t in texts}
+    (lost,) = spark.read.parquet(quarantine).collect()
+    assert lost.file.endswith(name) and lost.record == '{"body": "cut'
+
+
+def test_malformed_json_is_kept_apart(spark, tmp_path):
+    good = [{"id": "a", "score": "7"}, {"id": "b"}, {}]
+    one = write_lines(tmp_path / "one.json", [good[0], "no json", '{"id": "c"', good[1], "5"])
+    two = write_lines(tmp_path / "two.json.bz2", ['"text"', good[2], ""])
+    checked = write_then_read(
+        readers.checked_json(spark, [one, two], schemas.SUBMISSIONS), str(tmp_path / "checked")
+    )
+    rows = readers.accepted(checked)
+    assert rows.schema == schemas.SUBMISSIONS
+    assert sorted(map(tuple, rows.collect()), key=repr) == [("a", 7), ("b", None), (None, None)]
+    lost = sorted((r.file.rsplit("/", 1)[1], r.record) for r in readers.rejected(checked).collect())
+    assert lost == [("one.json", "5"), ("one.json", "no json"), ("one.json", '{"id": "c"'), ("two.json.bz2", '"text"')]
+    counts = {r.file.rsplit("/", 1)[1]: r.records for r in readers.rejected_by_file(checked).collect()}
+    assert counts == {"one.json": 3, "two.json.bz2": 1}
+
+
+def test_malformed_csv_is_kept_apart(spark, tmp_path):
+    lines = ["note,Input_id,labeldem,labelgop,labeldjt", "n,a,1,-1,0", "short,b", "n,c,1,1,1,9", "n,d,,,"]
+    path = write_lines(tmp_path / "l.csv", lines)
+    checked = write_then_read(readers.checked_csv(spark, path, schemas.LABELED), str(tmp_path / "checked"))
+    assert [r.Input_id for r in readers.accepted(checked).collect()] == ["a", "d"]
+    assert sorted(r.record for r in readers.rejected(checked).collect()) == ["n,c,1,1,1,9", "short,b"]
+    with pytest.raises(ValueError, match="labelgop"):
+        readers.checked_csv(spark, write_lines(tmp_path / "m.csv", ["Input_id,labeldem,labeldjt", "x,1,1"]), schemas.LABELED)
 
 
 def test_csv_file_has_its_name_a_header_and_sorted_rows(spark, tmp_path):
@@ -150,6 +180,116 @@ def test_materialize_repeats_an_unfinished_write(spark, tmp_path):
     assert again.count() == 4
 
 
+def test_two_builders_share_the_first_table(spark, tmp_path):
+    """Both are past the look for the table before either has written it."""
+    both, tables, errors = threading.Barrier(2), {}, []
+
+    def work(n):
+        def build():
+            both.wait(30)
+            return spark.range(n)
+
+        try:
+            tables[n] = [r.id for r in materialize(spark, "t", build, "k", str(tmp_path)).collect()]
+        except Exception as error:
+            errors.append(error)
+
+    threads = [threading.Thread(target=work, args=(n,)) for n in (3, 5)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(60)
+    assert not errors
+    assert sorted(tables[3]) == sorted(tables[5]) and len(tables[3]) in (3, 5)
+    assert os.listdir(tmp_path) == ["t-k"]
+
+
+def test_a_table_that_is_read_is_not_replaced(spark, tmp_path):
+    first = materialize(spark, "t", lambda: spark.range(4), "k", str(tmp_path))
+    os.rename(tmp_path / "t-k", tmp_path / "aside")
+
+    def build():  # another builder finishes meanwhile
+        os.rename(tmp_path / "aside", tmp_path / "t-k")
+        return spark.range(9)
+
+    second = materialize(spark, "t", build, "k", str(tmp_path))
+    assert first.count() == second.count() == 4
+
+
+class Broken(Exception):
+    pass
+
+
+def publish_two(spark, folder, value, fail=False):
+    def write(stage):
+        paths = [f"{stage}/a.csv", f"{stage}/b.csv"]
+        write_csv_file(spark.createDataFrame([(value,)], "v int"), paths[0], ["v"])
+        if fail:
+            raise Broken
+        write_csv_file(spark.createDataFrame([(value,)], "v int"), paths[1], ["v"])
+        return paths
+
+    return writers.published_together(spark, folder, write)
+
+
+def contents(folder):
+    return {f: open(folder / f).read() for f in os.listdir(folder) if not f.startswith(".")}
+
+
+def test_files_are_all_new_or_all_old(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "out"
+    (tmp_path / "out").mkdir()
+    (folder / "other.txt").write_text("mine")
+    assert publish_two(spark, str(folder), 1) == [f"{folder}/a.csv", f"{folder}/b.csv"]
+    with pytest.raises(Broken):
+        publish_two(spark, str(folder), 2, fail=True)
+    old = {"a.csv": "v\n1\n", "b.csv": "v\n1\n", "other.txt": "mine"}
+    assert contents(folder) == old
+
+    # The job dies between two moves; whoever comes next does the rest.
+    real, calls = writers.moved, []
+
+    def dies(spark, source, target, replace=False):
+        if target.endswith(("out/a.csv", "out/b.csv")):
+            calls.append(target)
+            if len(calls) == 2:
+                raise Broken
+        return real(spark, source, target, replace)
+
+    monkeypatch.setattr(writers, "moved", dies)
+    with pytest.raises(Broken):
+        publish_two(spark, str(folder), 3)
+    monkeypatch.setattr(writers, "moved", real)
+    writers.finish_publication(spark, str(folder))
+    assert contents(folder) == old | {"a.csv": "v\n3\n", "b.csv": "v\n3\n"}
+
+
+def test_a_failing_third_table_leaves_the_old_files(spark, tmp_path, monkeypatch):
+    from threadtone.plans import publishing
+
+    rows = [(0, "l", "c", "Ohio", 1, 0, 5, 50), (86400, "l", "d", "Utah", 0, 1, 6, 60)]
+    kinds = "timestamp bigint, link_id string, comment_id string, state string, a_pos int, a_neg int, c_score bigint, s_score bigint"
+    df, folder = spark.createDataFrame(rows, kinds), tmp_path / "out"
+    written = publishing.publish(df, ["a"], str(folder), unprefixed="a")
+    assert len(written) == 4 and all(map(os.path.isfile, written))
+    before, real, calls = contents(folder), publishing.write_csv_files, []
+
+    def fails(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise Broken
+        return real(*args)
+
+    monkeypatch.setattr(publishing, "write_csv_files", fails)
+    with pytest.raises(Broken):
+        publishing.publish(df.where("state = 'Ohio'"), ["a"], str(folder), unprefixed="a")
+    assert contents(folder) == before
+    monkeypatch.setattr(publishing, "write_csv_files", real)
+    publishing.publish(df.where("state = 'Ohio'"), ["a"], str(folder), unprefixed="a")
+    after = contents(folder)
+    assert set(after) == set(before) and all(after[f] != before[f] for f in before)
+
+
 def test_materialize_lets_errors_surface(spark, tmp_path):
     def build():
         return spark.read.parquet(str(tmp_path / "absent"))

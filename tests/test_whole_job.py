@@ -143,6 +143,52 @@ def test_one_pass_equals_join_of_two_outputs(spark, inputs, trained):
     assert {v for pair in got.values() for v in pair} == {0, 1}
 
 
+def test_coefficient_table_scores_as_the_models_do(spark, inputs, trained):
+    from pyspark.ml.functions import vector_to_array
+
+    from threadtone.functions.text import with_grams
+    from threadtone.operators.coefficients import coefficient_table, probabilities
+
+    bundle = trained.bundle
+    names = list(bundle.models)
+    table = coefficient_table(spark, bundle.vocabulary, bundle.models)
+    assert table.where("term is null").count() == 6
+    texts = with_grams(readers.read_comments(spark, inputs["comments"]).select("id", "body"))
+    odd = spark.createDataFrame([("none", []), ("unknown", ["zzz"]), (None, ["great", "great"])], "id string, grams array<string>")
+    texts = texts.select("id", "grams").unionByName(odd)
+    got = {r.id: r[1:] for r in probabilities(texts, table, names).collect()}
+    scored = bundle.vocabulary.transform(texts)
+    for name in names:
+        scored = add_probability(scored, bundle.models[name], f"{name}_prob")
+    expect = scored.select("id", *(vector_to_array(f"{n}_prob")[1].alias(n) for n in names)).collect()
+    assert len(got) == len(expect) == 603
+    for r in expect:
+        assert got[r.id] == pytest.approx(tuple(r[1:]), abs=1e-6)
+
+
+def test_folds_of_every_model_hold_both_classes(spark):
+    """Nine rows of a class among 399, of which about half are in the training part."""
+    rng = random.Random(6)
+    rows = [(f"c{i}", " ".join(rng.choices(GOOD if i % 44 else BAD, k=3)), str(1 if i % 44 else -1)) for i in range(399)]
+    comments = spark.createDataFrame([r[:2] for r in rows], "id string, body string")
+    labeled = spark.createDataFrame([(r[0], r[2]) for r in rows], "Input_id string, labeldem string")
+    for seed in range(3):
+        fit = train(labeled, comments, (Target("dem", "labeldem"),), seed=seed, evaluate=False, folds=2)
+        assert fit.cv_auc["dem_neg"] > 0.9 and fit.cv_auc["dem_pos"] > 0.9
+
+
+def test_malformed_lines_are_kept_apart_and_counted(spark, inputs, tmp_path, caplog):
+    lines = list(inputs["rows"])
+    broken = write_lines(tmp_path / "broken.json", [*lines[:300], '{"id": "c1", "body', "no json", *lines[300:]])
+    whole = write_lines(tmp_path / "whole.json", lines)
+    settings = {"targets": TARGETS[:1], "fraction": 0.5, "folds": 2}
+    out = [str(tmp_path / n) for n in ("a", "b")]
+    run(spark, inputs["labeled"], broken, inputs["submissions"], out[0], **settings)
+    assert "2 malformed records" in caplog.text and "broken.json" in caplog.text
+    run(spark, inputs["labeled"], whole, inputs["submissions"], out[1], **settings)
+    assert open(f"{out[0]}/time_data.csv").read() == open(f"{out[1]}/time_data.csv").read()
+
+
 def test_unseen_comments(spark, inputs):
     comments = readers.read_comments(spark, inputs["comments"])
     everything = scoring.unseen_comments(comments, 1.0)

@@ -76,7 +76,7 @@ def main() -> None:
         tables = report_tables(spark, args.folder, args.prefix, missing=args.missing)
         write_reports(tables, args.output, args.prefix)
     else:
-        write_table(clean_bodies(spark, args.file), args.output)
+        write_table(clean_bodies(spark, args.file, f"{args.output}.rejected"), args.output)
     spark.stop()
 
 

@@ -11,16 +11,18 @@ from threadtone.constants import STATES
 from threadtone.functions.scalars import in_states, local_date
 from threadtone.operators.share import flags_of, share, share_by_target, unfolded
 from threadtone.session import fresh_path
-from threadtone.sources.writers import remove, write_csv_files, write_then_read
+from threadtone.sources.filesystem import remove
+from threadtone.sources.writers import published_together, write_csv_files, write_then_read
 
 
 def share_tables(
     sentiment: DataFrame, targets: Sequence[str], states: Sequence[str] = STATES
 ) -> dict[str, DataFrame]:
-    """The five shares of all targets, each ``target, <key>, Positive, Negative``.
+    """Four shares of all targets, each ``target, <key>, Positive, Negative``.
 
-    The score tables count valid states only; the day and submission tables count
-    every row.
+    The score tables count valid states only; the day table counts every row.  The share
+    by submission is ``operators.share.share_by_submission``, which sums up before the
+    join that gives the submission.
     """
     valid = in_states(F.col("state"), states)
 
@@ -28,7 +30,6 @@ def share_tables(
         return share_by_target(sentiment, key, name, targets, where)
 
     return {
-        "link": by("link_id", "link_id"),
         "day": by(local_date(F.col("timestamp")), "date"),
         "state": by("state", "state", valid),
         "comment_score": by("c_score", "comment_score", valid),
@@ -84,11 +85,23 @@ def publish(
 
     File names carry the target as prefix, except those of ``unprefixed``.  One pass
     over the rows gives the shares of all tables and targets, which are stored; the
-    files of one table come from one job over them.
+    files of one table come from one job over them.  All files appear together: until
+    the last is written, those of an earlier run stay as they are.
     """
     spark = sentiment.sparkSession
     home = fresh_path(spark, "shares")
     shares = write_then_read(all_shares(sentiment, targets, states), home)
+    try:
+        return published_together(
+            spark, folder.rstrip("/"), lambda stage: _write(shares, targets, stage, unprefixed)
+        )
+    finally:
+        remove(spark, home)
+
+
+def _write(
+    shares: DataFrame, targets: Sequence[str], folder: str, unprefixed: str | None
+) -> list[str]:
     written = []
     for table, (file, key, positive, negative) in FILES.items():
         paths = {
@@ -105,5 +118,4 @@ def publish(
         )
         write_csv_files(rows, "target", paths, [key])
         written.extend(paths.values())
-    remove(spark, home)
     return written

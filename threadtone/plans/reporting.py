@@ -10,7 +10,7 @@ from threadtone import schemas
 from threadtone.constants import BAD_DATE, OFF_MAP, STATES
 from threadtone.operators import report
 from threadtone.sources.readers import read_csv
-from threadtone.sources.writers import write_csv_file
+from threadtone.sources.writers import finish_publication, published_together, write_csv_file
 
 
 def report_tables(
@@ -26,6 +26,7 @@ def report_tables(
 
     A state without a share stops the job, or with ``missing="null"`` gets none.
     """
+    finish_publication(spark, folder.rstrip("/"))
 
     def published(file: str, schema) -> DataFrame:
         return read_csv(spark, f"{folder}/{prefix}{file}", schema)
@@ -47,10 +48,16 @@ def report_tables(
 
 
 def write_reports(tables: dict[str, DataFrame], folder: str, prefix: str = "") -> list[str]:
-    """One CSV file per table, ordered by its first column."""
-    paths = []
-    for name, table in tables.items():
-        path = f"{folder}/{prefix}{name}.csv"
-        write_csv_file(table, path, table.columns[:1])
-        paths.append(path)
-    return paths
+    """One CSV file per table, ordered by its first column; all appear together."""
+
+    def write(stage: str) -> list[str]:
+        paths = []
+        for name, table in tables.items():
+            paths.append(f"{stage}/{prefix}{name}.csv")
+            write_csv_file(table, paths[-1], table.columns[:1])
+        return paths
+
+    if not tables:
+        return []
+    spark = next(iter(tables.values())).sparkSession
+    return published_together(spark, folder.rstrip("/"), write)

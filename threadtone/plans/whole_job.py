@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from threadtone import schemas
 from threadtone.constants import (
     FOLDS,
     MIN_DOCUMENT_FREQUENCY,
@@ -22,9 +24,10 @@ from threadtone.session import shared_folder
 from threadtone.sources.materialize import fingerprint, materialize
 from threadtone.sources.readers import (
     Paths,
-    read_comments,
-    read_labeled,
-    read_submissions,
+    accepted,
+    checked_csv,
+    checked_json,
+    rejected,
     spread,
 )
 
@@ -49,7 +52,8 @@ def run(
 
     Each input is a path, a pattern or a list of them.  The inputs are kept as Parquet
     in the shared folder, as are the models and the flag table, all under fingerprints
-    of the files and parameters they were made from.  With ``model_folder`` naming
+    of the files and parameters they were made from.  Records that are malformed stay in
+    those copies, with their file, and are counted in the log.  With ``model_folder`` naming
     stored models nothing is trained.
     """
     settings = {
@@ -59,14 +63,18 @@ def run(
         "folds": folds,
     }
 
-    def stored(name: str, path: Paths, read) -> tuple:
+    def stored(name: str, path: Paths, read, schema) -> tuple:
         key = fingerprint(spark, [path] if isinstance(path, str) else path, {})
-        return key, materialize(spark, name, lambda: read(spark, path), key)
+        table = materialize(spark, name, lambda: read(spark, path, schema), key)
+        lost = rejected(table).count()
+        if lost:
+            logging.getLogger(__name__).warning("%d malformed records in %s", lost, path)
+        return key, accepted(table)
 
-    labeled_key, labeled_df = stored("labeled", labeled, read_labeled)
-    comments_key, comments_df = stored("comments", comments, read_comments)
+    labeled_key, labeled_df = stored("labeled", labeled, checked_csv, schemas.LABELED)
+    comments_key, comments_df = stored("comments", comments, checked_json, schemas.COMMENTS)
     submissions_key, submissions_df = stored(
-        "submissions", submissions, read_submissions
+        "submissions", submissions, checked_json, schemas.SUBMISSIONS
     )
 
     names = [repr(t) for t in targets]

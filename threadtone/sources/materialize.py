@@ -10,11 +10,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from threadtone.session import shared_folder
-from threadtone.sources.filesystem import file_system
-from threadtone.sources.writers import write_then_read
+from threadtone.sources.filesystem import exists, file_system, private_path, settled
+from threadtone.sources.writers import write_table
 
 # To be raised when the text chain, the schemas or the models change what is stored.
-FORMAT_VERSION = 2
+FORMAT_VERSION = 3
 
 
 def fingerprint(
@@ -51,12 +51,15 @@ def materialize(
 ) -> DataFrame:
     """The stored table ``name`` for fingerprint ``key``; built on first use.
 
-    A table counts as stored once its success marker exists, so a write that died
-    half-way is done again.  Other errors surface.  What is returned always reads
-    from the files, never from the plan that made them.
+    A table is written to a folder of the attempt's own and renamed when it is complete,
+    so nobody reads half a table or one that is being replaced.  Of two builders at once
+    the first to finish wins, and both read its table.  A folder without a success marker
+    is built again.  Other errors surface.  What is returned always reads from the files,
+    never from the plan that made them.
     """
     path = f"{folder or shared_folder(spark)}/{name}-{key}"
-    fs, marker = file_system(spark, f"{path}/_SUCCESS")
-    if fs.exists(marker):
-        return spark.read.parquet(path)
-    return write_then_read(build(), path)
+    if not exists(spark, f"{path}/_SUCCESS"):
+        attempt = private_path(path)
+        write_table(build(), attempt)
+        settled(spark, attempt, path, "_SUCCESS")
+    return spark.read.parquet(path)

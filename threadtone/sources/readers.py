@@ -12,6 +12,10 @@ from threadtone import schemas
 
 Paths = str | Sequence[str]
 
+# Columns of a checked scan: the record as it stands in the file, if it is malformed,
+# and the file.
+REJECTED, FILE = "_rejected", "_file"
+
 
 def _listed(path: Paths) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
@@ -77,6 +81,63 @@ def unreadable(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFr
     return raw.agg(*(F.count_if(c).alias(name) for name, c in lost.items()))
 
 
+def _checked(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    values = (_value(f.name, f.dataType).alias(f.name) for f in schema.fields)
+    return raw.select(*values, F.col("_metadata.file_path").alias(FILE), F.col(REJECTED))
+
+
+def _with_rejected(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in (*names, REJECTED)])
+
+
+def checked_json(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFrame:
+    """Every line of JSON files: the schema's columns, ``_file`` and ``_rejected``.
+
+    ``_rejected`` is the line itself where it is no JSON object, and NULL elsewhere.
+    Store this table, then take ``accepted`` and ``rejected`` of it: one scan for both.
+    """
+    raw = (
+        spark.read.schema(_with_rejected(schema.names))
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .json(_listed(path))
+    )
+    return _checked(raw, schema)
+
+
+def checked_csv(spark: SparkSession, path: Paths, schema: T.StructType) -> DataFrame:
+    """The same of CSV files: rejected are records with more or fewer fields than the header."""
+    header = spark.read.option("header", True).csv(_listed(path)).columns
+    absent = [name for name in schema.names if name not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    raw = (
+        spark.read.schema(_with_rejected(header))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .option("columnPruning", False)  # else fields of a record are not counted
+        .csv(_listed(path))
+    )
+    return _checked(raw, schema)
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The well-formed records of a checked scan, without its two columns."""
+    return checked.where(F.col(REJECTED).isNull()).drop(REJECTED, FILE)
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """``file, record`` of the malformed ones."""
+    return checked.where(F.col(REJECTED).isNotNull()).select(
+        F.col(FILE).alias("file"), F.col(REJECTED).alias("record")
+    )
+
+
+def rejected_by_file(checked: DataFrame) -> DataFrame:
+    """``file, records``: how many of each file's records are malformed."""
+    return rejected(checked).groupBy("file").agg(F.count("*").alias("records"))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

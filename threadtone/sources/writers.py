@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadtone.sources.filesystem import file_system
+from threadtone.sources.filesystem import exists, file_system, moved, remove
+
+STAGED, READY = "_staged-", "_READY"
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -41,12 +43,6 @@ def write_csv_folder(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder that is not needed any more."""
-    fs, target = file_system(spark, folder)
-    fs.delete(target, True)
-
-
 def write_csv_file(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """One CSV file of exactly this name, on any file system Spark can write."""
     folder = f"{path}.{uuid4().hex}"
@@ -86,8 +82,49 @@ def _move_part(spark: SparkSession, folder: str, path: str) -> bool:
         return False
     if len(parts) > 1:
         raise RuntimeError(f"{len(parts)} part files in {folder}, not one")
-    _, target = file_system(spark, path)
-    fs.delete(target, False)
-    if not fs.rename(parts[0].getPath(), target):
-        raise RuntimeError(f"could not move {parts[0].getPath()} to {path}")
-    return True
+    return moved(spark, parts[0].getPath().toString(), path, replace=True)
+
+
+def published_together(
+    spark: SparkSession, folder: str, write: Callable[[str], list[str]]
+) -> list[str]:
+    """Files that ``write`` puts into a folder it is given, in ``folder`` all at once.
+
+    ``write`` returns the paths it has made.  They are written to a hidden folder first;
+    if that fails, ``folder`` is as it was.  When all are there a marker says so, and
+    they are moved over those of the same names.  Should the job die between two moves,
+    ``finish_publication`` does the rest.
+    """
+    finish_publication(spark, folder)
+    stage = f"{folder}/{STAGED}{uuid4().hex}"
+    try:
+        paths = write(stage)
+    except BaseException:
+        remove(spark, stage)
+        raise
+    fs, ready = file_system(spark, f"{stage}/{READY}")
+    fs.create(ready, False).close()
+    _switch(spark, stage, folder)
+    return [f"{folder}/{path[len(stage) + 1:]}" for path in paths]
+
+
+def finish_publication(spark: SparkSession, folder: str) -> None:
+    """Put in place what a job had completed but not moved when it died.
+
+    To be called before files of ``folder`` are read or written.  Sets without the
+    marker, of a job that failed or still writes, are left alone.
+    """
+    fs, pattern = file_system(spark, f"{folder}/{STAGED}*")
+    for stage in fs.globStatus(pattern) or []:
+        path = stage.getPath().toString()
+        if exists(spark, f"{path}/{READY}"):
+            _switch(spark, path, folder)
+
+
+def _switch(spark: SparkSession, stage: str, folder: str) -> None:
+    fs, at = file_system(spark, stage)
+    for file in fs.listStatus(at):
+        name = file.getPath().getName()
+        if name != READY:
+            moved(spark, f"{stage}/{name}", f"{folder}/{name}", replace=True)
+    remove(spark, stage)
