@@ -184,6 +184,14 @@ def _published() -> str:
     )
 
 
+def _odds(count: str) -> str:
+    return f"round(ln(CAST({count} + 1 AS DOUBLE) / CAST(n - {count} + 1 AS DOUBLE)) / 200, 6)"
+
+
+def _chance(score: str) -> str:
+    return f"round(1 / (1 + exp(-(coalesce({score}, 0) - 0.5::DOUBLE))), 6)"
+
+
 ORACLES: dict[str, str] = {
     "scan_project": "SELECT doc_id AS id, lang AS language, n_chars FROM documents",
     "csv_string_roundtrip": f"WITH {_LABELS} SELECT CAST(Input_id AS VARCHAR) AS Input_id,"
@@ -195,6 +203,9 @@ ORACLES: dict[str, str] = {
     "json_numbers_in_any_form": f"WITH {_META} SELECT CAST(id AS VARCHAR) AS id, "
     "created_utc, score FROM meta",
     "json_bz2_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS id, text AS body FROM documents",
+    "json_quarantine": "SELECT CAST(NULL AS BIGINT) AS part, CAST(event_id AS VARCHAR) AS id, "
+    "CAST(user_id AS BIGINT) AS n FROM events WHERE event_id % 5 NOT IN (0, 1) UNION ALL "
+    "SELECT event_id % 3, NULL, count(*) FROM events WHERE event_id % 5 IN (0, 1) GROUP BY 1",
     "body_file_cleaning": _text(_POSTS, _FOUR.format(keys="")),
     "materialize_reuse": "SELECT doc_id, lang, n_chars FROM documents",
     "published_files": _published(),
@@ -212,6 +223,20 @@ ORACLES: dict[str, str] = {
     "hash_sample": f"SELECT doc_id, n_chars FROM documents WHERE {_UNIT} < {SAMPLE_FRACTION}",
     "hash_split": f"SELECT doc_id, n_chars, CASE WHEN {_UNIT} < 0.5 THEN 1 ELSE 2 END AS part "
     "FROM documents",
+    "stratified_folds": "SELECT doc_id AS id, toxic AS label, CAST((row_number() OVER "
+    f"(PARTITION BY toxic ORDER BY {_UNIT}, doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels",
+    "label_score_auc": f"WITH {_META},{_LABELS}, f AS ("
+    "UNPIVOT (SELECT score, "
+    + ", ".join(given.FLAGS)
+    + " FROM meta JOIN flags ON meta.id = flags.Input_id) ON "
+    + ", ".join(given.FLAGS)
+    + " INTO NAME flag VALUE y), "
+    "h AS (SELECT flag, score, sum(y) AS p, sum(1 - y) AS n FROM f GROUP BY ALL), "
+    "w AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY flag ORDER BY score "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM h) "
+    "SELECT flag, CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives, "
+    "CAST(sum(p * (2 * below + n)) AS DOUBLE) / nullif(2.0::DOUBLE * sum(p) * sum(n), 0) AS auc "
+    "FROM w GROUP BY flag",
     "random_split": "SELECT doc_id, n_chars FROM documents",
     "model_flags_agree": "SELECT doc_id AS id, "
     + ", ".join(f"true AS {name}" for name in given.FLAGS)
@@ -250,6 +275,15 @@ ORACLES: dict[str, str] = {
         _STATS + "SELECT * FROM stats ORDER BY total_count DESC, term LIMIT 1000",
     ),
     "vector_vocabulary_terms": _text(_DOCUMENTS, _VECTOR_TERMS),
+    "coefficient_scores": _text(
+        _DOCUMENTS,
+        ", once AS (SELECT id, unnest(list_distinct(grams)) AS term FROM lists), "
+        "k AS (SELECT term, count(*) AS n, sum(quality) AS q, sum(toxic) AS t "
+        "FROM once JOIN labels ON id = doc_id GROUP BY term HAVING count(*) >= 20), "
+        f"s AS (SELECT id, sum({_odds('q')}) AS q, sum({_odds('t')}) AS t "
+        "FROM once LEFT JOIN k USING (term) GROUP BY id) "
+        f"SELECT id, {_chance('q')} AS quality, {_chance('t')} AS toxic FROM s",
+    ),
     "share_by_link": _share("link_id", "link_id", "pos_avg", "neg_avg", False),
     "share_by_day": _share(_DAY, "date", "pos_avg_day", "neg_avg_day", False),
     "share_by_state": _share("state", "state", '"Positive"', '"Negative"', True),

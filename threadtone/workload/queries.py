@@ -14,6 +14,8 @@ from threadtone.constants import SAMPLE_FRACTION
 from threadtone.functions import sampling, scalars, text
 from threadtone.functions.sql import register_functions
 from threadtone.operators import report
+from threadtone.operators.coefficients import probabilities
+from threadtone.operators.evaluation import area_under_roc
 from threadtone.operators.joins import (
     both_probabilities,
     labelled_comments,
@@ -37,7 +39,7 @@ from threadtone.plans.cleaning import clean_bodies
 from threadtone.plans.training import with_binary_labels
 from threadtone.session import fresh_path
 from threadtone.sources.materialize import fingerprint, materialize
-from threadtone.sources.readers import read_csv, read_json
+from threadtone.sources.readers import accepted, checked_json, read_csv, read_json, rejected_by_file
 from threadtone.sources.writers import write_csv_file, write_csv_table, write_then_read
 from threadtone.workload import standins as given
 
@@ -111,6 +113,27 @@ def json_bz2_roundtrip(spark, folder):
     return read_json(spark, path, schemas.COMMENTS).select("id", "body")
 
 
+@_register
+def json_quarantine(spark, folder):
+    """Lines of which two in five are broken: the good rows, and counts of the others."""
+    path = fresh_path(spark, "comments")
+    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("user_id").alias("score")))
+    kind = F.col("event_id") % 5
+    given.table(spark, folder, "events").select(
+        F.when(kind == 0, F.substring(line, F.lit(1), F.length(line) - 1))
+        .when(kind == 1, F.concat(F.lit("no json "), line))
+        .otherwise(line),
+        (F.col("event_id") % 3).alias("part"),
+    ).toDF("value", "part").write.partitionBy("part").text(path)
+    checked = write_then_read(checked_json(spark, path, schemas.SUBMISSIONS), fresh_path(spark, "checked"))
+    part = F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("bigint").alias("part")
+    lost = rejected_by_file(checked).groupBy(part).agg(F.sum("records").alias("n"))
+    nothing = F.lit(None).cast("string").alias("id")
+    return accepted(checked).select(F.lit(None).cast("bigint").alias("part"), "id", F.col("score").alias("n")).unionAll(
+        lost.select("part", nothing, "n")
+    )
+
+
 @_register
 def body_file_cleaning(spark, folder):
     path = fresh_path(spark, "bodies")
@@ -228,6 +251,16 @@ def hash_split(spark, folder):
     return sampling.hash_parts(documents, "doc_id", (0.5, 0.5), given.SEED)
 
 
+@_register
+def stratified_folds(spark, folder):
+    """The fold of every labelled comment, dealt out within each value of a label."""
+    labels = given.table(spark, folder, "labels").select(
+        F.col("doc_id").alias("id"), F.col("toxic").alias("label")
+    )
+    dealt = sampling.stratified_folds(labels, "id", ["label"], 5, given.SEED)
+    return labels.join(dealt, "id").select("id", "label", F.col("fold_label").alias("fold"))
+
+
 @_register
 def bernoulli_sample(spark, folder):
     documents = given.table(spark, folder, "documents").select("doc_id", "n_chars")
@@ -538,6 +571,35 @@ def stored_outputs_join(spark, folder):
     return both_probabilities(positive, negative, "p")
 
 
+@_register
+def label_score_auc(spark, folder):
+    """How well a sighting's score tells the labels apart, flag by flag."""
+    rows = given.flagged(spark, folder)
+    flags = F.array(*(F.struct(F.lit(f).alias("flag"), F.col(f).alias("label")) for f in given.FLAGS))
+    return area_under_roc(rows.select("score", F.inline(flags)), "score", "label", ["flag"])
+
+
+@_register
+def coefficient_scores(spark, folder):
+    """All documents scored by a table of weights, which the labels' term counts give."""
+    grams = _labelled_grams(spark, folder).join(given.label_flags(spark, folder), F.col("Input_id") == F.col("id"))
+    terms = grams.select("quality_pos", "toxic_pos", F.explode(F.array_distinct("grams")).alias("term"))
+    seen = terms.groupBy("term").agg(
+        F.count("*").alias("n"), F.sum("quality_pos").alias("q"), F.sum("toxic_pos").alias("t")
+    ).where("n >= 20")
+
+    def weight(flag, count):
+        odds = F.round(F.log((F.col(count) + 1) / (F.col("n") - F.col(count) + 1)) / 200, 6)
+        return F.struct(F.lit(flag).alias("flag"), odds.alias("weight"))
+
+    weights = seen.select("term", F.inline(F.array(weight("quality", "q"), weight("toxic", "t"))))
+    base = spark.sql("SELECT flag, CAST(NULL AS STRING) AS term, -0.5D AS weight FROM VALUES ('quality'), ('toxic') AS v(flag)")
+    table = write_then_read(weights.unionByName(base), fresh_path(spark, "weights"))
+    texts = text.with_grams(given.spread_bodies(spark, folder))
+    found = probabilities(texts, table, ["quality", "toxic"])
+    return found.select("id", *(F.round(f, 6).alias(f) for f in ("quality", "toxic")))
+
+
 @_register
 def model_cv_auc(spark, folder):
     return given.metrics(spark, folder).select("target", "flag", "cv_auc")
