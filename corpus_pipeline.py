@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from threadtone.llm.common import stored, table
 from threadtone.llm.decontaminate import clean_documents
 from threadtone.llm.mixing import mix
-from threadtone.llm.near_copies import one_of_each_copy
 from threadtone.llm.quality import good_documents, grade_of
 from threadtone.llm.queries import WEIGHTS, domain_of
+from threadtone.llm.simhash import one_of_each
 from threadtone.llm.token_files import read_back, write_token_files
 from threadtone.session import fresh_path
 
@@ -28,9 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest key.
 
-    Copies are alike by 0.8 or more of their five-word shingles.
+    Copies' fingerprints of three-word shingles differ in three bits at most.
     """
-    return one_of_each_copy(docs)
+    return one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
