@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow.fs
@@ -53,16 +53,42 @@ def whole_row(docs: DataFrame) -> Column:
     return F.struct(*(docs[c] for c in docs.columns)).alias("doc")
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose key is not in the one column of ``dropped``."""
-    gone = dropped.toDF("__gone").distinct()
-    return docs.join(gone.hint("merge"), docs[key].eqNullSafe(gone["__gone"]), "left_anti")
+def marks(*columns: str | Column) -> list[Column]:
+    """Two hashes of some columns, ``mark1`` and ``mark2``, 128 bits together."""
+    return [F.xxhash64(F.lit(i), *columns).alias(f"mark{i}") for i in (1, 2)]
 
 
-def only(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose key is in the one column of ``kept``."""
-    wanted = kept.toDF("__kept").distinct()
-    return docs.join(wanted.hint("merge"), docs[key].eqNullSafe(wanted["__kept"]), "left_semi")
+def _same(docs: DataFrame, named: DataFrame, key: str, columns: Sequence[str]) -> Column:
+    own = marks(*(docs[c] for c in columns))
+    return docs[key].eqNullSafe(named["__id"]) & (own[0] == named["__mark1"]) & (own[1] == named["__mark2"])
+
+
+def without(docs: DataFrame, dropped: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``docs`` whose key and hashes of ``columns`` are not in ``dropped``.
+
+    ``dropped`` has ``id, mark1, mark2``.  Rows that repeat a key, null too, are told
+    apart by the hashes.
+    """
+    gone = dropped.select("id", "mark1", "mark2").toDF("__id", "__mark1", "__mark2").distinct()
+    return docs.join(gone.hint("merge"), _same(docs, gone, key, columns), "left_anti")
+
+
+def one_row_each(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """Exactly one row of ``docs`` for each row of ``kept``: ``id, mark1, mark2, again``.
+
+    The hashes are of all columns.  ``again`` marks those that more than one row of
+    ``docs`` has; such rows are equal in every column and become one, each task first
+    merging its own.
+    """
+    named = stored(kept.select("id", "mark1", "mark2", "again"), "rows-kept")
+
+    def found(again: bool) -> DataFrame:
+        wanted = named.filter(F.col("again") == again).toDF("__id", "__mark1", "__mark2", "__again")
+        return docs.join(wanted.hint("merge"), _same(docs, wanted, key, docs.columns), "left_semi")
+
+    if named.filter("again").isEmpty():
+        return found(False)
+    return found(False).unionByName(found(True).dropDuplicates())
 
 
 def files(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadtone.llm.common import ascii_lower, stored, text_or_empty, whole_row, without
+from threadtone.llm.common import ascii_lower, marks, stored, text_or_empty, whole_row, without
 
 WINDOW = 13
 #: Windows in one broadcast: about 300 bytes each.
@@ -160,9 +160,15 @@ def contamination(
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the contaminated rows; a key with such a row goes as a whole."""
-    found = stored(contamination(docs, benchmark, key, text).filter("contaminated").select(key), "decon-dropped")
-    return without(docs, found, key)
+    """``docs`` without the contaminated rows.
+
+    Rows that share a key, null too, are judged each by its own text, and each goes or
+    stays by itself.
+    """
+    name = F.struct(F.col(key).alias("id"), *marks(text))
+    found = contamination(docs.select(name.alias("name"), F.col(text).alias("text")), benchmark, "name", "text")
+    dropped = stored(found.filter("contaminated").select("name.*"), "decon-dropped")
+    return without(docs, dropped, key, [text])
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

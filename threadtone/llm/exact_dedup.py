@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadtone.llm.common import BLANK, only, stored, text_or_empty
+from threadtone.llm.common import BLANK, marks, one_row_each, stored, text_or_empty
 
 
 def squeezed(text: Column) -> Column:
@@ -108,6 +108,12 @@ def _regrouped(compared: DataFrame, collided: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they were."""
-    decisions = exact_dedup(docs, key, text)
-    return only(docs, decisions.filter("kept").select(key), key)
+    """One row of ``docs`` for each text, all columns as they were.
+
+    Of several rows with the key that stays the one whose hash is smallest stays, and of
+    equal rows any.
+    """
+    name = F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), *marks(*docs.columns))
+    decisions = exact_dedup(docs.select(name.alias("name"), F.col(text).alias("text")), "name", "text")
+    kept = decisions.filter("kept").groupBy("name").agg((F.count("*") > 1).alias("again"))
+    return one_row_each(docs, kept.select("name.*", "again"), key)

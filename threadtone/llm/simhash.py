@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadtone.llm.common import BLANK, only, stored
+from threadtone.llm.common import BLANK, marks, one_row_each, stored
 
 WORDS = 3
 RADIUS = 3
@@ -68,16 +68,23 @@ def fingerprint(data: bytes, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """``id, fp`` for every row; null texts have no words, and no words give zero."""
-    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("data"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, fp long"
+def fingerprints(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, marked: bool = False
+) -> DataFrame:
+    """``id, fp`` for every row; null texts have no words, and no words give zero.
+
+    ``marked`` adds ``mark1, mark2``, hashes of the whole row.
+    """
+    extra = marks(*docs.columns) if marked else []
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("data"), *extra)
+    names = ["id", "fp", *rows.columns[2:]]
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in names[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(x.as_py() or b"", words) for x in batch.column(1)]
             signed = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), signed], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), signed, *batch.columns[2:]], names)
 
     return rows.mapInArrow(run, schema)
 
@@ -239,18 +246,35 @@ def near_duplicates(
     """
     prints = stored(fingerprints(docs, key, text, words), "simhash-prints")
     points = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-points")
-    roots = components(links(points.select("fp"), radius, bucket))
-    placed = points.join(roots.hint("merge"), F.col("fp") == F.col("u"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    placed = stored(placed, "simhash-placed")
+    placed = _rooted(points, radius, bucket)
     smallest = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest")
     named = stored(placed.join(smallest.hint("merge"), "root").select("fp", "component_id"), "simhash-named")
     return prints.join(named.hint("merge"), "fp").select(F.col("id").alias(key), "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that name their component, all columns as they were."""
-    found = near_duplicates(docs, key, text)
-    kept = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(key)
-    return only(docs, stored(kept, "simhash-kept"), key)
+def _rooted(points: DataFrame, radius: int, bucket: int) -> DataFrame:
+    """``fp, first, root`` of distinct fingerprints: the smallest of their component."""
+    roots = components(links(points.select("fp"), radius, bucket))
+    placed = points.join(roots.hint("merge"), F.col("fp") == F.col("u"), "left")
+    return stored(placed.select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-placed")
+
+
+def one_of_each(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    words: int = WORDS,
+    radius: int = RADIUS,
+    bucket: int = BUCKET,
+) -> DataFrame:
+    """One row of ``docs`` for each component, all columns as they were.
+
+    It is a row with the smallest key, null keys last; of several with that key the one
+    whose hash is smallest, and of equal rows any.  No component is left without a row.
+    """
+    prints = stored(fingerprints(docs, key, text, words, marked=True), "simhash-prints")
+    rows = prints.groupBy("fp", "id", "mark1", "mark2").agg((F.count("*") > 1).alias("again"))
+    first = F.struct(F.col("id").isNull().alias("no"), "id", "mark1", "mark2", "again")
+    points = stored(rows.groupBy("fp").agg(F.min(first).alias("first")), "simhash-points")
+    best = _rooted(points, radius, bucket).groupBy("root").agg(F.min("first").alias("first"))
+    return one_row_each(docs, best.select("first.*"), key)
