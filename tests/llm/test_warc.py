@@ -1,11 +1,19 @@
 import base64
 import gzip
 import hashlib
+import random
+import time
+import zlib
+from html.parser import HTMLParser
 
 import pyarrow.fs
 import pytest
 
-from threadtone.llm.warc import _records, derive, derived, encoded, plain_text, read_records, response, write_responses
+from threadtone.llm.queries import QUERIES
+from threadtone.llm.warc import (
+    Headers, _parsed, _records, derive, derived, encoded, page_of, plain_text, read_records, response, scanned,
+    write_responses,
+)
 from threadtone.session import fresh_path
 
 
@@ -97,3 +105,85 @@ def test_no_pages(spark, testdata):
     write_responses(pages, source)
     derive(spark, source, made)
     assert read_records(spark, made).collect() == []
+
+
+class Shown(HTMLParser):
+    """What a well-formed page shows, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.links, self.hidden = [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style")
+        self.parts.append("\n" if tag in ("p", "div", "br", "h1", "li") else "")
+        if tag == "a" and dict(attrs).get("href"):
+            self.links.append(dict(attrs)["href"])
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style")
+        self.parts.append("\n" if tag in ("p", "div", "br", "h1", "li") else "")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.parts.append(data)
+
+
+def test_scan_against_a_parser():
+    draw = random.Random(9)
+    pieces = ["word ", "a &amp; b", "&#233;", "<p>", "</p>", "<b>", "</b>", "<br>", "\n", "<!-- <p> x -->", " ",
+              "<script>var a = '<p>';</script>", "<style>p {}</style>", '<a href="/x?a=1&amp;b=2">', "</a>",
+              '<a class="c" href="http://h/">', "<div id='1'>", "</div>", "&nbsp;", "<li>", "<h1>"]
+    for _ in range(400):
+        page = "".join(draw.choice(pieces) for _ in range(30))
+        parser = Shown()
+        parser.feed(page)
+        parser.close()
+        text, _, _, links = scanned(page)
+        lines = [" ".join(x.split()) for x in "".join(parser.parts).split("\n")]
+        assert text.split("\n") == [x for x in lines if x] or not any(lines)
+        assert links == parser.links
+
+
+@pytest.mark.parametrize(
+    "piece", ["<!--", "<a href", "<script ", "<script>", "<title>", "</script ", "<", "&#9", "&#0", " ", "\t<p", "<a href=", "&", "<html lang", "9"]
+)
+def test_hostile_pages_take_no_time(piece):
+    for page in (piece * ((1 << 20) // len(piece)), "&#" + piece * ((1 << 20) // len(piece)) + ">"):
+        began = time.perf_counter()
+        scanned(page)
+        assert time.perf_counter() - began < 2
+
+
+def test_repeated_headers_stay():
+    headers = Headers([("WARC-Record-ID", "<urn:a>"), ("WARC-Concurrent-To", "<urn:b>"), ("WARC-Concurrent-To", "<urn:c>")])
+    block = b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nSet-Cookie: b=2\r\n\r\n<p>x"
+    (meta, about), _ = derived(headers, block)
+    assert [v for n, v in meta if n == "WARC-Concurrent-To"] == ["<urn:b>", "<urn:c>"]
+    assert about.decode().count("http-set-cookie") == 2
+    assert _parsed(b"x\r\nA: 1\r\nA: 2")["A"] == "1"
+
+
+def test_encodings_are_undone():
+    page = "<p>Grüße, été"
+    gzipped = gzip.compress(page.encode("latin-1"))
+    chunks = b"".join(b"%x;x=y\r\n%s\r\n" % (len(c), c) for c in (gzipped[:7], gzipped[7:])) + b"0\r\n\r\n"
+    http = [("Content-Type", "text/html; charset=ISO-8859-1"), ("Content-Encoding", "gzip"), ("Transfer-Encoding", "chunked")]
+    assert page_of(http, chunks) == page
+    assert page_of(http[:2], zlib.compress(b"no gzip")).count("\ufffd") == 0
+    assert page_of([("content-encoding", "deflate")], zlib.compress(page.encode())) == page
+    assert page_of([], b'<meta charset="latin-1">\xe9') == '<meta charset="latin-1">é'
+    assert page_of([("Content-Type", "text/html; charset=nonsense")], page.encode()) == page
+    assert page_of([("Transfer-Encoding", "chunked")], b"not chunked at all") == "not chunked at all"
+    assert page_of([], b"\xff") == "\ufffd"
+
+
+def test_query_with_odd_pages(spark, testdata, tmp_path):
+    rows = [(None, None, None), (7, "http://h/", ""), (7, "http://h/", ""), (8, None, "<p>x " + "&#9" * 5), (9, "u", "y" * 2_000_000)]
+    pages = spark.read.parquet(f"{testdata}/pages.parquet")
+    spark.createDataFrame(rows, pages.schema).write.parquet(f"{tmp_path}/pages.parquet")
+    found = QUERIES["op8_warc"](spark, str(tmp_path)).collect()
+    assert len(found) == 10 and sum(r.page_id is None for r in found) == 2
+    assert {r.content for r in found if r.page_id == 9 and r.type == "conversion"} == {"y" * 2_000_000}
+    spark.createDataFrame([], pages.schema).write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert QUERIES["op8_warc"](spark, f"{tmp_path}/none").collect() == []

@@ -123,13 +123,13 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     """The derivatives of every page's response, as read back from their files.
 
-    A row per record: its page, identifiers, digest, and its text.
+    A row per record: its page (null if it has no key), identifiers, digest, and its text.
     """
     responses, derivatives = fresh_path(spark, "responses"), fresh_path(spark, "derivatives")
     write_responses(table(spark, folder, "pages"), responses)
     derive(spark, responses, derivatives)
     return read_records(spark, derivatives).select(
-        F.element_at("headers", "X-Page-Key").cast("long").alias("page_id"),
+        F.element_at("headers", "X-Page-Key").try_cast("long").alias("page_id"),
         "type",
         "uri",
         "date",

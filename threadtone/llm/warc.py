@@ -3,7 +3,8 @@
 Files hold one gzip member per record, so any record can be read by itself.  Responses
 are read from such files, or made from a table of pages; derived records name the
 response they refer to, repeat the source's headers that describe it, and carry
-digests of their own blocks.
+digests of their own blocks.  Pages are gone through once, from tag to tag, in a time in
+proportion to their length whatever they hold.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import html
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs
@@ -26,20 +27,24 @@ from threadtone.llm.common import files, published
 
 #: The date of responses made from pages that have none.
 DATE = "2024-01-01T00:00:00Z"
-RECORD = "record_id string, type string, uri string, date string, refers_to string, block_digest string, payload_digest string, content_type string, headers map<string,string>, block binary"
+RECORD = "record_id string, type string, uri string, date string, refers_to string, block_digest string, payload_digest string, content_type string, headers map<string,string>, fields array<struct<name:string,value:string>>, block binary"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # Fixed value: the name space of URLs.
-_KEPT = ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Identified-Payload-Type")
+_KEPT = ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Identified-Payload-Type", "WARC-Concurrent-To")
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>", re.S | re.I)
-_BREAK = re.compile(
-    r"</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title|head|body|blockquote|pre|hr|option|td|th)\b[^>]*>", re.I
+_MARK = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][\w:-]*)[^>]*>|[/!?][^>]*>)")
+_BREAKS = frozenset(
+    "p div br h1 h2 h3 h4 h5 h6 li ul ol tr table article section nav header footer title head body "
+    "blockquote pre hr option td th".split()
 )
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
-_LINES = re.compile(r"[ \t\r\f\v\xa0]*\n\s*")
+_ENDS = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")}
+_HREF = re.compile(r"\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
 _BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_LINES = re.compile(r" ?\n\s*")
+_ZEROS, _DIGITS = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[1-9][0-9]{7,};?")
+_CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+#: Bytes in which a page may name its charset.
+_HEAD = 1024
 
 
 def digest(block: bytes) -> str:
@@ -52,24 +57,115 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, chr(10).join(parts))}>"
 
 
+def _unescaped(text: str) -> str:
+    """Entities resolved; numbers beyond all characters are replaced, however long."""
+    return html.unescape(_DIGITS.sub("\ufffd", _ZEROS.sub("&#", text)))
+
+
+def scanned(page: str) -> tuple[str, str | None, str | None, list[str]]:
+    """Text, title, language and links of a page, in one pass over its tags.
+
+    Comments and what lies in scripts, styles and templates is hidden.  Where a comment
+    or such an element has no end, only its tag is taken out; a ``<`` without a ``>``
+    after it is text.
+    """
+    last, comment, endless = page.rfind(">") + 1, page.rfind("-->"), set()
+    title = lang = None
+    out, links, at = [], [], 0
+
+    def ending(name: str) -> re.Match | None:
+        found = None if name in endless else _ENDS[name].search(page, at)
+        if found is None:
+            endless.add(name)
+        return found
+
+    while found := _MARK.search(page, at, last):
+        out.append(page[at : found.start()])
+        at = found.end()
+        if found[1]:
+            at = page.find("-->", at) + 3 if comment >= at else page.find(">", at) + 1
+            continue
+        name = (found[3] or "").lower()
+        if name in _BREAKS:
+            out.append("\n")
+        if found[2]:
+            continue
+        if name == "a":
+            link = _HREF.search(found[0])
+            if link:
+                links.append(_unescaped(link[1]))
+        elif name == "html" and lang is None:
+            known = _LANG.search(found[0])
+            lang = known and known[1]
+        elif name in _ENDS and (name != "title" or title is None):
+            end = ending(name)
+            if end and name == "title":
+                title = " ".join(_unescaped(page[at : end.start()]).split())
+            elif end:
+                at = end.end()
+    out.append(page[at:])
+    text = _LINES.sub("\n", _BLANKS.sub(" ", _unescaped("".join(out)))).strip()
+    return text, title, lang, links
+
+
 def plain_text(page: str) -> str:
     """What a page shows: markup gone, blocks on lines of their own, entities resolved."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub("", page)))
-    return _BLANKS.sub(" ", _LINES.sub("\n", html.unescape(text))).strip()
+    return scanned(page)[0]
 
 
-def described(page: str) -> str:
+def _described(title: str | None, lang: str | None, links: list[str]) -> str:
     """Title, language and links of a page, as ``name: value`` lines."""
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    lines = []
-    if title:
-        lines.append("title: " + " ".join(html.unescape(title[1]).split()))
-    if lang:
-        lines.append("language: " + lang[1])
-    lines += ["outlink: " + html.unescape(x) for x in _LINK.findall(_HIDDEN.sub("", page))]
+    lines = [f"title: {title}"] if title is not None else []
+    lines += [f"language: {lang}"] if lang else []
+    lines += ["outlink: " + _one_line(x) for x in links]
     return "".join(x + "\r\n" for x in lines)
 
 
+def _whole(payload: bytes) -> bytes:
+    """A payload out of its chunks; as it is where it is not in chunks."""
+    out, at = [], 0
+    while True:
+        end = payload.find(b"\r\n", at, at + 64)
+        if end < 0:
+            return payload
+        try:
+            size = int(payload[at:end].partition(b";")[0], 16)
+        except ValueError:
+            return payload
+        if size <= 0:
+            return b"".join(out)
+        out.append(payload[end + 2 : end + 2 + size])
+        at = end + 4 + size
+        if at > len(payload) + 2:
+            return payload
+
+
+def page_of(http: list[tuple[str, str]], payload: bytes) -> str:
+    """The page that a response delivered: chunks joined, compression undone, decoded.
+
+    Compression other than gzip and deflate, and what does not decompress, stays as it
+    is.  The charset is the header's, else the one that the page's beginning names, else
+    UTF-8, and UTF-8 for one that is unknown; what does not decode is replaced.
+    """
+    named: dict[str, list[str]] = {}
+    for name, value in http:
+        named.setdefault(name.lower(), []).append(value)
+    if "chunked" in ",".join(named.get("transfer-encoding", [])).lower():
+        payload = _whole(payload)
+    for coding in reversed(",".join(named.get("content-encoding", [])).lower().split(",")):
+        for bits in {"gzip": (31,), "x-gzip": (31,), "deflate": (15, -15)}.get(coding.strip(), ()):
+            try:
+                payload = zlib.decompress(payload, bits)
+                break
+            except zlib.error:
+                pass
+    said = _CHARSET.search(" ".join(named.get("content-type", []))) or _CHARSET.search(payload[:_HEAD].decode("latin-1"))
+    try:
+        return payload.decode(said[1] if said else "utf-8", errors="replace")
+    except (LookupError, UnicodeError):
+        return payload.decode(errors="replace")
+
+
 def _one_line(value: str) -> str:
     return " ".join(value.split())
 
@@ -98,12 +194,20 @@ def response(page: str, uri: str, content: str, date: str = DATE) -> tuple[list[
     ], block
 
 
-def _parsed(head: bytes) -> dict[str, str]:
-    pairs = (line.partition(":") for line in head.decode(errors="replace").split("\r\n")[1:] if line)
-    return {name.strip(): value.strip() for name, _, value in pairs}
+class Headers(dict[str, str]):
+    """The first value of every header; ``pairs`` has all of them in order."""
+
+    def __init__(self, pairs: Iterable[tuple[str, str]]) -> None:
+        self.pairs = list(pairs)
+        super().__init__(reversed(self.pairs))
+
 
+def _parsed(head: bytes) -> Headers:
+    lines = (line.partition(":") for line in head.decode(errors="replace").split("\r\n")[1:] if line)
+    return Headers((name.strip(), value.strip()) for name, _, value in lines)
 
-def _records(data: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+
+def _records(data: Iterator[bytes]) -> Iterator[tuple[Headers, bytes]]:
     """The records of a stream of gzip members; holds one record at a time."""
     buffer = bytearray()
 
@@ -143,7 +247,10 @@ def _chunks(system: pyarrow.fs.FileSystem, path: str, size: int = 1 << 20) -> It
 
 
 def write_responses(pages: DataFrame, folder: str, key: str = "page_id", uri: str = "url", content: str = "html") -> None:
-    """The pages as response records, a file for every task; null columns are empty."""
+    """The pages as response records, a file for every task; null columns are empty.
+
+    Other columns are not read, whatever their names.
+    """
     columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((key, "k"), (uri, "u"), (content, "c"))]
 
     def made(row: dict) -> tuple[list[tuple[str, str]], bytes]:
@@ -205,7 +312,7 @@ def read_records(spark: SparkSession, folder: str, kinds: tuple[str, ...] = ())
     return _paths(spark, folder).mapInArrow(run, RECORD)
 
 
-def _batch(rows: list[tuple[dict[str, str], bytes]], kind: pa.DataType) -> pa.RecordBatch:
+def _batch(rows: list[tuple[Headers, bytes]], kind: pa.DataType) -> pa.RecordBatch:
     named = {
         "record_id": "WARC-Record-ID", "type": "WARC-Type", "uri": "WARC-Target-URI", "date": "WARC-Date",
         "refers_to": "WARC-Refers-To", "block_digest": "WARC-Block-Digest",
@@ -213,30 +320,33 @@ def _batch(rows: list[tuple[dict[str, str], bytes]], kind: pa.DataType) -> pa.Re
     }
     columns = [pa.array([h.get(field) for h, _ in rows], pa.string()) for field in named.values()]
     columns.append(pa.array([list(h.items()) for h, _ in rows], kind))
+    field = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
+    columns.append(pa.array([[{"name": n, "value": v} for n, v in h.pairs] for h, _ in rows], field))
     columns.append(pa.array([b for _, b in rows], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, [*named, "headers", "block"])
+    return pa.RecordBatch.from_arrays(columns, [*named, "headers", "fields", "block"])
 
 
 def derived(headers: dict[str, str], block: bytes) -> list[tuple[list[tuple[str, str]], bytes]]:
     """The metadata and the conversion record of one response.
 
     Both refer to the response and repeat its address and date; the metadata keeps the
-    response's digests and the transferred headers as well.  What does not decode as
-    UTF-8 is replaced.
+    response's digests and every transferred header as well, repeated ones too.
     """
     source = headers.get("WARC-Record-ID", "")
     head, _, payload = block.partition(b"\r\n\r\n")
-    page = payload.decode(errors="replace")
-    kept = [(n, headers[n]) for n in (*_KEPT, "X-Page-Key") if n in headers]
+    http = _parsed(head).pairs
+    pairs = getattr(headers, "pairs", list(headers.items()))
+    kept = [(n, v) for n, v in pairs if n in (*_KEPT, "X-Page-Key")]
     about = "".join(
         f"{name}: {headers[field]}\r\n"
         for name, field in (("source-block-digest", "WARC-Block-Digest"), ("source-payload-digest", "WARC-Payload-Digest"))
         if field in headers
     )
-    about += "".join(f"http-{n.lower()}: {v}\r\n" for n, v in _parsed(head).items())
-    text, made = plain_text(page).encode(), []
+    about += "".join(f"http-{n.lower()}: {v}\r\n" for n, v in http)
+    shown, *rest = scanned(page_of(http, payload))
+    text, made = shown.encode(errors="replace"), []
     meta_id, text_id = record_id("metadata", source), record_id("conversion", source)
-    about = (about + f"conversion: {text_id}\r\n" + described(page)).encode()
+    about = (about + f"conversion: {text_id}\r\n" + _described(*rest)).encode(errors="replace")
     for kind, own, content, body in (
         ("metadata", meta_id, "application/warc-fields", about),
         ("conversion", text_id, "text/plain; charset=utf-8", text),
@@ -260,7 +370,8 @@ def derive(spark: SparkSession, responses: str, folder: str) -> None:
 
     File by file: a file of responses becomes a file of twice as many records in the
     same order.  Other record types are passed over.  Repeated responses have equal
-    derivatives; empty payloads give empty conversions.
+    derivatives; empty payloads give empty conversions.  A task holds one response at a
+    time, so very long pages need a few times their length.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
