@@ -3,8 +3,8 @@
 Nodes start spread by hash.  In each round, joins count for every linked node how many
 of its neighbours each shard has; a node wants to go where most are.  How many may go
 from one shard to another is bounded by a quota: as many as want to come back, and a
-part of the room that is left.  Those who gain most go first.  Unlinked nodes take up no
-room, as they can be anywhere: at the end those that exceed the even size move on, and
+part of the room that is left.  Those who gain most go first.  Rounds go on until no node
+wishes to go where there is room.  Unlinked nodes take up no room, as they can be anywhere: at the end those that exceed the even size move on, and
 linked ones only where these do not suffice, so counts differ by one at most.
 """
 
@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from threadtone.llm.common import stored, text_or_empty
 
-ROUNDS = 6
+#: Rounds end by themselves; this only ends swaps that would go on for ever.
+ROUNDS = 60
+#: So many rounds without a move while nodes wish to go: the shards they wish for are full.
+IDLE = 6
 #: Rows that are ordered in one task when places are given out.
 STRETCH = 20_000
 #: Steps by which a quota is filled; more gain comes first, then a hash decides.
@@ -59,9 +62,9 @@ def _quotas(demand: dict[tuple[int, int], int], counts: list[int], most: int) ->
 
 
 def propagated(state: DataFrame, links: DataFrame, shards: int, most: int, rounds: int = ROUNDS) -> DataFrame:
-    """``node, shard`` of the linked nodes after ``rounds``.
+    """``node, shard`` of the linked nodes when none wishes to go where there is room.
 
-    ``state`` has the linked nodes with their first shard, ``links`` their neighbours
+    At most ``rounds`` are made.  ``state`` has the linked nodes with their first shard, ``links`` their neighbours
     ``src, dst, weight`` once in either direction.  No shard gets beyond ``most`` nodes
     by the room it has; what an exchange leaves open may exceed it by a little.
     """
@@ -70,12 +73,12 @@ def propagated(state: DataFrame, links: DataFrame, shards: int, most: int, round
     counts = [sizes.get(s, 0) for s in range(shards)]
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     both = stored(both, "shard-links")
+    idle = 0
     for number in range(rounds):
         seen = both.join(state.hint("merge"), both["dst"] == state["node"]).groupBy("src", "shard")
         votes = stored(seen.agg(F.sum("weight").alias("votes")), "shard-votes").alias("v")
         own = state.withColumnsRenamed({"node": "src", "shard": "here"})
-        # Half of the nodes sit a round out, lest neighbours swap places for ever.
-        wish = votes.join(own.hint("merge"), "src").filter(F.pmod(F.xxhash64("src", F.lit(number)), F.lit(2)) == 0)
+        wish = votes.join(own.hint("merge"), "src")
         best = F.max(F.struct("votes", (F.col("shard") == F.col("here")).alias("stay"), (-F.col("shard")).alias("s")))
         now = F.coalesce(F.max(F.when(F.col("shard") == F.col("here"), F.col("votes"))), F.lit(0))
         wish = wish.groupBy("src", "here").agg(best.alias("best"), now.alias("now"))
@@ -87,6 +90,10 @@ def propagated(state: DataFrame, links: DataFrame, shards: int, most: int, round
         ).filter("here != there")
         step = (F.lit(GAINS) - F.col("gain")) * PARTS + F.pmod(F.xxhash64("node", F.lit(-number - 1)), F.lit(PARTS))
         wish = stored(wish.withColumn("step", step), "shard-wishes")
+        if wish.isEmpty():
+            break
+        # Half of the nodes sit a round out, lest neighbours swap places for ever.
+        wish = wish.filter(F.pmod(F.xxhash64("node", F.lit(number)), F.lit(2)) == 0)
         # At most shards x shards x (GAINS + 1) x PARTS rows.
         steps = wish.groupBy("here", "there", "step").agg(F.count("*").alias("n"))
         demand = {(r.here, r.there): r.n for r in steps.groupBy("here", "there").agg(F.sum("n").alias("n")).collect()}
@@ -96,7 +103,11 @@ def propagated(state: DataFrame, links: DataFrame, shards: int, most: int, round
         upto = F.sum("n").over(Window.partitionBy("here", "there").orderBy("step"))
         filled = steps.withColumn("upto", upto).join(F.broadcast(quotas), ["here", "there"]).filter("upto <= quota")
         filled = stored(filled.select("here", "there", "step", "n"), "shard-moves")
-        for r in filled.groupBy("here", "there").agg(F.sum("n").alias("n")).collect():
+        moves = filled.groupBy("here", "there").agg(F.sum("n").alias("n")).collect()
+        idle = 0 if moves else idle + 1
+        if idle == IDLE:
+            break
+        for r in moves:
             counts[r.here] -= r.n
             counts[r.there] += r.n
         go = wish.join(F.broadcast(filled), ["here", "there", "step"]).select("node", "there")
