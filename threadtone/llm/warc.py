@@ -39,8 +39,9 @@ _BREAKS = frozenset(
 _ENDS = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")}
 _HREF = re.compile(r"\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
 _LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
-_LINES = re.compile(r" ?\n\s*")
+# Blanks that are not one space already, so that the spaces between words cost nothing.
+_BLANKS = re.compile(r"[\t\r\f\v\xa0][ \t\r\f\v\xa0]*| [ \t\r\f\v\xa0]+")
+_LINES = re.compile(r"\n\s+")
 _ZEROS, _DIGITS = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[1-9][0-9]{7,};?")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 #: Bytes in which a page may name its charset.
@@ -59,7 +60,9 @@ def record_id(*parts: str) -> str:
 
 def _unescaped(text: str) -> str:
     """Entities resolved; numbers beyond all characters are replaced, however long."""
-    return html.unescape(_DIGITS.sub("\ufffd", _ZEROS.sub("&#", text)))
+    if "&#" in text:
+        text = _DIGITS.sub("\ufffd", _ZEROS.sub("&#", text))
+    return html.unescape(text)
 
 
 def scanned(page: str) -> tuple[str, str | None, str | None, list[str]]:
@@ -104,7 +107,8 @@ def scanned(page: str) -> tuple[str, str | None, str | None, list[str]]:
             elif end:
                 at = end.end()
     out.append(page[at:])
-    text = _LINES.sub("\n", _BLANKS.sub(" ", _unescaped("".join(out)))).strip()
+    text = _BLANKS.sub(" ", _unescaped("".join(out))).replace(" \n", "\n")
+    text = _LINES.sub("\n", text).strip()
     return text, title, lang, links
 
 
