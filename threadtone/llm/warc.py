@@ -16,6 +16,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.fs
@@ -316,6 +317,13 @@ def read_records(spark: SparkSession, folder: str, kinds: tuple[str, ...] = ())
     return _paths(spark, folder).mapInArrow(run, RECORD)
 
 
+def _pairs(lists: list[list[tuple[str, str]]]) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Offsets, names and values of lists of pairs, as flat arrays."""
+    offsets = [0, *accumulate(map(len, lists))]
+    flat = [pair for pairs in lists for pair in pairs]
+    return pa.array(offsets, pa.int32()), pa.array([n for n, _ in flat], pa.string()), pa.array([v for _, v in flat], pa.string())
+
+
 def _batch(rows: list[tuple[Headers, bytes]], kind: pa.DataType) -> pa.RecordBatch:
     named = {
         "record_id": "WARC-Record-ID", "type": "WARC-Type", "uri": "WARC-Target-URI", "date": "WARC-Date",
@@ -323,9 +331,10 @@ def _batch(rows: list[tuple[Headers, bytes]], kind: pa.DataType) -> pa.RecordBat
         "payload_digest": "WARC-Payload-Digest", "content_type": "Content-Type",
     }
     columns = [pa.array([h.get(field) for h, _ in rows], pa.string()) for field in named.values()]
-    columns.append(pa.array([list(h.items()) for h, _ in rows], kind))
-    field = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
-    columns.append(pa.array([[{"name": n, "value": v} for n, v in h.pairs] for h, _ in rows], field))
+    first = _pairs([list(h.items()) for h, _ in rows])
+    columns.append(pa.MapArray.from_arrays(*first).cast(kind))
+    offsets, names, values = _pairs([h.pairs for h, _ in rows])
+    columns.append(pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([names, values], ["name", "value"])))
     columns.append(pa.array([b for _, b in rows], pa.binary()))
     return pa.RecordBatch.from_arrays(columns, [*named, "headers", "fields", "block"])
 
