@@ -45,7 +45,7 @@ def domain_of(source: str) -> Column:
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document without the sentences that occur before, and where those were."""
+    """Every document without the runs of sentences that occur before, and where those were."""
     cleaned = without_repeats(table(spark, folder, "documents"))
     spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["stop"]))
     return cleaned.select(

@@ -93,9 +93,14 @@ n AS (
   SELECT *, {_SQUEEZED} AS norm,
          sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM u
 ),
-w AS (SELECT *, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS words FROM n),
+b AS (
+  SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS again FROM n
+),
+w AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, again ORDER BY i) AS run FROM b
+),
 r AS (
-  SELECT *, words >= 5 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, i) > 1 AS gone FROM w
+  SELECT *, again AND sum(strlen(norm)) OVER (PARTITION BY doc_id, again, run) >= 150 AS gone FROM w
 ),
 a AS (
   SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
