@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from tests.scalar_text import cleaned, gram_list, without_links
+from threadtone.constants import WORD_CHARS
 from threadtone.functions import text
 from threadtone.functions.sql import register_functions
 
@@ -162,3 +164,11 @@ def test_hostile_text_takes_linear_time(spark, hostile):
     started = time.monotonic()
     text.with_grams(df).select(F.size("grams")).collect()
     assert time.monotonic() - started < 10
+
+
+def test_patterns_name_every_word_character():
+    class_of = re.compile(f"[{text.spelled(WORD_CHARS)}]")
+    old = re.compile(f"[{WORD_CHARS}]")
+    assert all(bool(class_of.match(chr(c))) == bool(old.match(chr(c))) for c in range(0x3000))
+    for pattern in (text.EDGE_PUNCTUATION, text.BIGRAM, text.TRIGRAM):
+        assert "a-z" not in pattern and text.spelled(WORD_CHARS) in pattern

@@ -10,6 +10,7 @@ row would hold up a task for hours.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +23,17 @@ from threadtone.constants import (
     WORD_CHARS,
 )
 
-_W = WORD_CHARS
+
+def spelled(members: str) -> str:
+    """The members of a character class with its ranges written out.
+
+    Java looks a Latin-1 character that is named up in a table; a range is a chain of
+    calls for every character of the text.
+    """
+    return re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), members)
+
+
+_W = spelled(WORD_CHARS)
 _S = SPACE_CHARS
 _END = PHRASE_END_CHARS
 
