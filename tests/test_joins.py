@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from threadtone.operators.joins import (
+    dealt,
     both_probabilities,
     labelled_comments,
     looked_up,
@@ -161,3 +162,13 @@ def test_lookup(spark):
         looked_up(dimension, facts, "state", "v").collect()
     with pytest.raises(ValueError):
         looked_up(dimension, facts, "state", "v", missing="ignore")
+
+
+def test_tasks_of_labelled_text_do_not_grow(spark):
+    """However many rows the join leaves, a task gets as many as fit and no more."""
+    comments = spark.range(0, 9000, 1, 2).select(F.col("id"), F.lit("a b").alias("body"))
+    labeled = comments.select(F.col("id").alias("Input_id"), F.lit("1").alias("l"))
+    rows = dealt(labelled_comments(labeled, comments, ["l"]), per_task=500)
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 9000 and len(sizes) == 18 and max(sizes) <= 520
+    assert dealt(comments.limit(0)).count() == 0

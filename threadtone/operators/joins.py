@@ -18,6 +18,8 @@ from threadtone.functions.scalars import submission_id
 
 # Labelled comments that are broadcast: about 100 bytes each.
 BROADCAST_LABELS = 1_000_000
+# Rows a task takes through the text steps: a few MB of text.
+ROWS_PER_TASK = 2048
 
 
 def labelled_comments(
@@ -63,6 +65,17 @@ def _blocks(rows: DataFrame, least: int, most: int) -> int:
     return 0
 
 
+def dealt(df: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` over tasks of ``per_task`` rows at most, or of fewer to use all slots.
+
+    What a join leaves may be little and unevenly spread; and what a task gathers by term
+    must not grow with the table.  The rows are counted first, which reads the keys alone.
+    """
+    rows = df.count()
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(2 * slots, rows // 64), -(-rows // per_task)))
+
+
 def with_submissions(
     comments: DataFrame, submissions: DataFrame, carry: Sequence[str] = ()
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from threadtone.operators.coefficients import probabilities
 from threadtone.operators.evaluation import area_under_roc
 from threadtone.operators.joins import (
     both_probabilities,
+    dealt,
     labelled_comments,
     with_flags,
 )
@@ -369,7 +370,7 @@ def _labelled_grams(spark, folder):
     joined = labelled_comments(
         given.labeled(spark, folder), given.bodies(spark, folder), []
     )
-    return text.with_grams(joined.hint("rebalance"))
+    return text.with_grams(dealt(joined))
 
 
 @_register
