@@ -8,6 +8,7 @@ for models from elsewhere and for checks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
@@ -15,6 +16,11 @@ from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadtone.operators.joins import BROADCAST_LABELS
+from threadtone.operators.vocabulary import BROADCAST_CHARACTERS
+from threadtone.session import fresh_path
+from threadtone.sources.writers import write_then_read
+
 
 def coefficient_table(
     spark: SparkSession,
@@ -36,14 +42,21 @@ def coefficient_table(
 
 
 def probabilities(
-    texts: DataFrame, table: DataFrame, flags: Sequence[str], key: str = "id", grams: str = "grams"
+    texts: DataFrame,
+    table: DataFrame,
+    flags: Sequence[str],
+    key: str = "id",
+    grams: str = "grams",
+    most: int = BROADCAST_CHARACTERS,
 ) -> DataFrame:
     """``key`` and, for each of ``flags``, the chance of class 1 by the table's model.
 
     A term counts once for a text.  Rows that share a key are one text, those without a
     known term get the intercept's chance.  The table is turned to one row a term, so
-    each term of a text meets one row for all models; the sums by key take one row per
-    text and known term, or none.
+    each term of a text meets one row for all models.  It is broadcast, in blocks of
+    about ``most`` characters with a pass over the texts each, so no term of a text is
+    shuffled: a text's sums leave its task as one row.  Only the terms of keys that
+    repeat are brought together first, as a term may be in several rows.
     """
     weight = {f: F.sum(F.when(F.col("flag") == f, F.col("weight"))) for f in flags}
     names = {f: f"__w{i}" for i, f in enumerate(flags)}
@@ -51,8 +64,15 @@ def probabilities(
         *(weight[f].alias(names[f]) for f in flags)
     )
     base = table.where(F.col("term").isNull()).agg(*(weight[f].alias(names[f]) for f in flags))
-    terms = texts.select(F.col(key).alias("__key"), F.explode_outer(F.array_distinct(grams)).alias("__term"))
-    found = terms.distinct().join(wide, F.col("__term") == F.col("term"), "left").groupBy("__key").agg(
+    characters = wide.agg(F.sum(F.char_length("term") + 1)).first()[0] or 0
+    blocks = max(1, -(-characters // most))
+    block = F.pmod(F.xxhash64("term"), F.lit(blocks))
+    terms = _terms_once(texts, key, grams)
+    parts = [
+        terms.join(F.broadcast(wide.where(block == i)), F.col("__term") == F.col("term"), "left")
+        for i in range(blocks)
+    ]
+    found = reduce(DataFrame.unionAll, parts).groupBy("__key").agg(
         *(F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names.values())
     )
 
@@ -61,3 +81,21 @@ def probabilities(
         return (1 / (1 + F.exp(-(F.col(names[f]) + intercept)))).alias(f)
 
     return found.select(F.col("__key").alias(key), *(chance(f) for f in flags))
+
+
+def _terms_once(texts: DataFrame, key: str, grams: str) -> DataFrame:
+    """``__key, __term``: each term of a key once; NULL for a row without terms."""
+    spark = texts.sparkSession
+
+    def terms(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col(key).alias("__key"), F.explode_outer(F.array_distinct(grams)).alias("__term"))
+
+    sizes = texts.groupBy(F.col(key).alias("__again")).agg(F.count("*").alias("rows"))
+    again = write_then_read(sizes.where("rows > 1").select("__again"), fresh_path(spark, "keys-again"))
+    repeated = again.count()
+    if not repeated:
+        return terms(texts)
+    again = F.broadcast(again) if repeated <= BROADCAST_LABELS else again.hint("merge")
+    same = F.col(key).eqNullSafe(F.col("__again"))
+    once, several = texts.join(again, same, "left_anti"), texts.join(again, same, "left_semi")
+    return terms(once).unionAll(terms(several).distinct())
