@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.test_io import write_lines
 from threadtone.operators.classifier import TARGETS, Target, add_probability
-from threadtone.plans import scoring
+from threadtone.plans import scoring, training
 from threadtone.plans.training import Bundle, train
 from threadtone.plans.reporting import report_tables, write_reports
 from threadtone.plans.whole_job import run
@@ -278,3 +278,23 @@ def test_run_publishes_twelve_files_and_reuses_its_tables(spark, inputs, tmp_pat
         spark, *args, str(tmp_path / "loaded"), fraction=0.5, seed=3, model_folder=models
     )
     assert {os.path.basename(p): read_rows(p) for p in loaded} == before
+
+
+def test_gradients_of_a_pass_do_not_grow(spark, inputs, monkeypatch):
+    """Every partition of a fit sends a gradient, so their number must not go with the rows."""
+    seen = []
+
+    class Fitted:
+        avgMetrics = [0.5]
+
+    def fit(learn, *args, **settings):
+        seen.append((learn.rdd.getNumPartitions(), learn.count()))
+        return Fitted()
+
+    monkeypatch.setattr(training, "cross_validate", fit)
+    monkeypatch.setattr(training, "ROWS_PER_PARTITION", 4)
+    train(
+        readers.read_labeled(spark, inputs["labeled"]), readers.read_comments(spark, inputs["comments"]),
+        (Target("dem", "labeldem"),), seed=3, evaluate=False,
+    )
+    assert len(seen) == 2 and all(n == training.MOST_GRADIENTS and rows > 0 for n, rows in seen)

@@ -31,16 +31,19 @@ from threadtone.operators.classifier import (
     cross_validate,
     holdout_auc,
 )
-from threadtone.operators.joins import labelled_comments
+from threadtone.operators.joins import dealt, labelled_comments
 from threadtone.operators.vocabulary import fit_vocabulary
 from threadtone.session import fresh_path
 from threadtone.sources.filesystem import exists, private_path, remove, replaced, settled
 from threadtone.sources.writers import write_table, write_then_read
 
-# Each pass over the data costs every partition a gradient as long as the
-# vocabulary, so a partition should hold rows enough to be worth one.
+# Each pass over the data costs every task a gradient as long as the vocabulary, so a
+# partition should hold rows enough to be worth one.
 ROWS_PER_PARTITION = 4096
 CONCURRENT_MODELS = 6
+# Spark adds up the gradients of a pass in a tree; about the square root of their number
+# reaches the driver, two of eleven.  More tasks come from folds and models side by side.
+MOST_GRADIENTS = 11
 # Folds must not follow the split into halves, so they go by another seed.
 FOLD_SEED = 1
 
@@ -63,11 +66,11 @@ def labelled_grams(
 ) -> DataFrame:
     """``Input_id``, the binary labels and the gram list of each labelled comment.
 
-    The joined rows are rebalanced before the text steps, since what the join
+    The joined rows are dealt out before the text steps, since what the join
     leaves of the comments may be little and unevenly spread.
     """
     raw = labelled_comments(labeled, comments, [t.label for t in targets])
-    return with_grams(with_binary_labels(raw.hint("rebalance"), targets)).select(
+    return with_grams(with_binary_labels(dealt(raw), targets)).select(
         "Input_id", *label_columns(targets), "grams"
     )
 
@@ -168,8 +171,9 @@ def train(
     # Rows are dealt out in turn, so copies of one comment cannot fill a partition.
     features = features.repartition(partitions).sortWithinPartitions("Input_id").persist()
     slots = spark.sparkContext.defaultParallelism
-    folds_at_a_time = max(1, min(folds, slots // partitions))
-    learn, held_out = features.where("part = 1"), features.where("part = 2")
+    gradients = min(partitions, MOST_GRADIENTS)
+    folds_at_a_time = max(1, min(folds, slots // gradients))
+    learn, held_out = features.where("part = 1").coalesce(gradients), features.where("part = 2")
     # One pass fills the cache before the threads start asking for it.
     features.count()
 
