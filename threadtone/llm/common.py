@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadtone.session import fresh_path
+from threadtone.sources.filesystem import files
 
 #: The six ASCII blanks that the contracts name, as a pattern.
 BLANK = r"[\x20\x09-\x0D]"
@@ -91,15 +92,6 @@ def one_row_each(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     return found(False).unionByName(found(True).dropDuplicates())
 
 
-def files(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system and the path behind a folder's address, in a task or the driver."""
-    if "://" not in folder and not folder.startswith("file:"):
-        return pyarrow.fs.LocalFileSystem(), folder
-    if folder.startswith("file:"):
-        return pyarrow.fs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
-    return pyarrow.fs.FileSystem.from_uri(folder)
-
-
 @contextmanager
 def published(folder: str, name: str, attempt: str) -> Iterator[pyarrow.NativeFile]:
     """A file that appears under its name only when it is complete.

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+from pyspark import inheritable_thread_target
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from threadtone.constants import (
     FOLDS,
@@ -17,6 +24,7 @@ from threadtone.constants import (
     POSITIVE_THRESHOLD,
     REGULARISATION_GRID,
 )
+from threadtone.operators.solver import Fit, fitted
 
 
 @dataclass(frozen=True)
@@ -39,6 +47,52 @@ TARGETS = (
 POSITIVE, NEGATIVE = "pos", "neg"
 
 
+class _FoldsAtOnce(CrossValidator):
+    """Cross validation of logistic regressions, all fits of which share each pass.
+
+    Gradients stay off the driver; it gets the weights of every model once.  Folds,
+    measures and the choice are those of ``CrossValidator``.
+    """
+
+    def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
+        regression, measure, grid = self.getEstimator(), self.getEvaluator(), self.getEstimatorParamMaps()
+        numbers, fold, source = range(self.getNumFolds()), self.getFoldCol(), dataset
+        if not fold:
+            fold, drawn = f"{self.uid}_fold", f"{self.uid}_rand"
+            share = 1.0 / len(numbers)
+            source = dataset.select("*", F.rand(self.getSeed()).alias(drawn))
+            number = sum(((F.col(drawn) >= i * share).cast("int") for i in numbers[1:]), F.lit(0))
+            source = source.withColumn(fold, number)
+        folds = self.copy({self.foldCol: fold})._kFold(source)
+        label, features = regression.getLabelCol(), regression.getFeaturesCol()
+        penalties = [params.get(regression.regParam, regression.getRegParam()) for params in grid]
+        parts = [(i, j) for i in (*numbers, None) for j in range(len(grid))]
+        found = fitted(
+            source, label, features, [Fit(penalties[j], i) for i, j in parts], regression.getMaxIter(), fold
+        )
+
+        def model(i: int | None, j: int) -> LogisticRegressionModel:
+            own, solution = regression.copy(grid[j]), found[parts.index((i, j))]
+            if solution is None:  # one label alone, which takes no pass
+                return own.fit(dataset if i is None else folds[i][0])
+            weights, intercept = solution
+            made = JavaWrapper._new_java_obj(
+                "org.apache.spark.ml.classification.LogisticRegressionModel",
+                own.uid, Vectors.dense(weights), intercept,
+            )
+            return own._copyValues(LogisticRegressionModel(made))
+
+        def measured(part: tuple[int, int]) -> float:
+            return measure.evaluate(model(*part).transform(folds[part[0]][1]))
+
+        held = parts[: len(numbers) * len(grid)]
+        with ThreadPoolExecutor(max(1, self.getParallelism())) as pool:
+            values = list(pool.map(inheritable_thread_target(dataset.sparkSession)(measured), held))
+        means, deviations = self._gen_avg_and_std_metrics(np.reshape(values, (len(numbers), len(grid))).tolist())
+        best = int(np.argmax(means))
+        return self._copyValues(CrossValidatorModel(model(None, best), means, None, deviations))
+
+
 def cross_validate(
     train: DataFrame,
     label: str,
@@ -58,7 +112,7 @@ def cross_validate(
     regression = LogisticRegression(
         labelCol=label, featuresCol=features, maxIter=max_iter
     )
-    return CrossValidator(
+    return _FoldsAtOnce(
         estimator=regression,
         evaluator=BinaryClassificationEvaluator(labelCol=label),
         estimatorParamMaps=ParamGridBuilder()
