@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pyarrow.fs
 import pytest
 
+from threadtone.llm import warc
 from threadtone.llm.queries import QUERIES
 from threadtone.llm.warc import (
     Headers, _parsed, _records, derive, derived, encoded, page_of, plain_text, read_records, response, scanned,
@@ -187,3 +188,26 @@ def test_query_with_odd_pages(spark, testdata, tmp_path):
     assert {r.content for r in found if r.page_id == 9 and r.type == "conversion"} == {"y" * 2_000_000}
     spark.createDataFrame([], pages.schema).write.parquet(f"{tmp_path}/none/pages.parquet")
     assert QUERIES["op8_warc"](spark, f"{tmp_path}/none").collect() == []
+
+
+def test_bytes_after_a_record_are_not_copied_for_each(monkeypatch):
+    """A gzip member's end hands back what is left of the bytes given, a copy each time."""
+    data = b"".join(encoded([("WARC-Type", "response"), ("N", str(i))], b"block %d" % i) for i in range(3000))
+    given = []
+
+    class Counting:
+        def __init__(self, wbits):
+            self.unpacker = unpackers(wbits=wbits)
+
+        def decompress(self, piece):
+            given.append(len(piece))
+            return self.unpacker.decompress(piece)
+
+        def __getattr__(self, name):
+            return getattr(self.unpacker, name)
+
+    unpackers = zlib.decompressobj
+    monkeypatch.setattr(warc.zlib, "decompressobj", Counting)
+    found = [(headers["N"], block) for headers, block in warc._records(iter([data[:100_000], data[100_000:]]))]
+    assert found == [(str(i), b"block %d" % i) for i in range(3000)]
+    assert sum(given) < 3000 * 10_000
