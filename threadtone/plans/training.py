@@ -41,8 +41,8 @@ from threadtone.sources.writers import write_table, write_then_read
 # partition should hold rows enough to be worth one.
 ROWS_PER_PARTITION = 4096
 CONCURRENT_MODELS = 6
-# Spark adds up the gradients of a pass in a tree; about the square root of their number
-# reaches the driver, two of eleven.  More tasks come from folds and models side by side.
+# Gradients of a pass are shuffled by blocks of columns, so their number must not go with
+# the rows.  More tasks come from models side by side.
 MOST_GRADIENTS = 11
 # Folds must not follow the split into halves, so they go by another seed.
 FOLD_SEED = 1
