@@ -298,3 +298,24 @@ def test_gradients_of_a_pass_do_not_grow(spark, inputs, monkeypatch):
         (Target("dem", "labeldem"),), seed=3, evaluate=False,
     )
     assert len(seen) == 2 and all(n == training.MOST_GRADIENTS and rows > 0 for n, rows in seen)
+
+
+def test_no_vector_of_a_training_stays_in_a_heap(spark, inputs, monkeypatch):
+    """The vectors of a large table would fill the executors' heaps."""
+    cached = spark.sparkContext._jsc.getPersistentRDDs
+    before, levels = set(cached()), []
+
+    class Fitted:
+        avgMetrics = [0.5]
+
+    def fit(learn, *args, stored, **settings):
+        levels.extend(rdd.getStorageLevel() for key, rdd in cached().items() if key not in before)
+        assert spark.read.parquet(stored).count() == learn.count() > 0
+        return Fitted()
+
+    monkeypatch.setattr(training, "cross_validate", fit)
+    train(
+        readers.read_labeled(spark, inputs["labeled"]), readers.read_comments(spark, inputs["comments"]),
+        (Target("dem", "labeldem"),), seed=3, evaluate=False,
+    )
+    assert levels and all(level.useDisk() and not level.useMemory() for level in levels)

@@ -54,9 +54,12 @@ class _FoldsAtOnce(CrossValidator):
     measures and the choice are those of ``CrossValidator``.
     """
 
+    stored: str | None = None  # as for ``fitted``, with a fold column only
+
     def _fit(self, dataset: DataFrame) -> CrossValidatorModel:
         regression, measure, grid = self.getEstimator(), self.getEvaluator(), self.getEstimatorParamMaps()
         numbers, fold, source = range(self.getNumFolds()), self.getFoldCol(), dataset
+        stored = self.stored if fold else None
         if not fold:
             fold, drawn = f"{self.uid}_fold", f"{self.uid}_rand"
             share = 1.0 / len(numbers)
@@ -68,7 +71,8 @@ class _FoldsAtOnce(CrossValidator):
         penalties = [params.get(regression.regParam, regression.getRegParam()) for params in grid]
         parts = [(i, j) for i in (*numbers, None) for j in range(len(grid))]
         found = fitted(
-            source, label, features, [Fit(penalties[j], i) for i, j in parts], regression.getMaxIter(), fold
+            source, label, features, [Fit(penalties[j], i) for i, j in parts], regression.getMaxIter(), fold,
+            stored=stored,
         )
 
         def model(i: int | None, j: int) -> LogisticRegressionModel:
@@ -103,16 +107,18 @@ def cross_validate(
     max_iter: int = MAX_ITERATIONS,
     parallelism: int = 2,
     fold: str | None = None,
+    stored: str | None = None,
 ) -> CrossValidatorModel:
     """Logistic regression, its regularisation chosen by AUC over the folds.
 
     ``fold`` names a column with each row's fold, from 0; then the folds do not depend
-    on how the rows lie.  Without it Spark draws them by ``seed`` and partition.
+    on how the rows lie.  Without it Spark draws them by ``seed`` and partition.  Several
+    labels of the same rows may share what ``solver.store_rows`` has ``stored``.
     """
     regression = LogisticRegression(
         labelCol=label, featuresCol=features, maxIter=max_iter
     )
-    return _FoldsAtOnce(
+    validator = _FoldsAtOnce(
         estimator=regression,
         evaluator=BinaryClassificationEvaluator(labelCol=label),
         estimatorParamMaps=ParamGridBuilder()
@@ -122,7 +128,9 @@ def cross_validate(
         **({"foldCol": fold} if fold else {}),
         seed=seed,
         parallelism=parallelism,
-    ).fit(train)
+    )
+    validator.stored = stored
+    return validator.fit(train)
 
 
 def holdout_auc(

@@ -9,24 +9,29 @@ gradients so far, so the driver only holds the factors and the gradients' inner
 
 from __future__ import annotations
 
-from collections.abc import Callable, Generator, Iterator
+from collections.abc import Callable, Generator, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset
-from pyspark import TaskContext
+import pyarrow.parquet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadtone.session import fresh_path
-from threadtone.sources.filesystem import files, remove
+from threadtone.sources.filesystem import files, remove, stored_files
 
 TOLERANCE = 1e-6  # that of Spark's regression, like the numbers of the search below
 MEMORY = 10
-# Columns of a block, and entries of a packed row: a few MB each.
+# Columns of a block, and entries read at a time: a few MB each.
 BLOCK = 4096
 ENTRIES = 1 << 20
+# Tasks of a pass.  Their gradients are shuffled by blocks of columns, so their number must
+# not go with the rows.  More tasks come from models side by side.
+MOST_GRADIENTS = 11
+_WIDTH, _AT, _VALUES = "__width", "__at", "__values"
 _PART = "block int, task int, vector binary, tail binary"
 _WHOLE = "block int, vector binary, dots binary, tail binary"
 # A spread this small beside the values themselves is rounding.
@@ -195,63 +200,73 @@ def minimized(span: Span, penalty: float, intercept: float, most: int) -> Genera
 # --- the passes over the rows -------------------------------------------------
 
 
-def _packed(df: DataFrame, label: str, features: str, fold: str | None) -> DataFrame:
-    """Rows in bunches, as plain arrays; values are left out where all are one."""
+def store_rows(df: DataFrame, features: str, columns: Sequence[str], folder: str) -> None:
+    """Rows as passes read them, once for all fits: numbers and the arrays of the vectors.
+
+    Values are left out where all are one.
+    """
     vector = F.unwrap_udt(F.col(features))
     values = vector["values"]
-    ones = vector["indices"].isNotNull() & (F.array_min(values) == 1) & (F.array_max(values) == 1)
-    rows = df.select(
-        F.col(label).cast("double").alias("y"),
-        (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
-        F.coalesce(vector["size"], F.size(values)).alias("width"),
-        vector["indices"].alias("at"),
-        F.when(~F.coalesce(ones, F.lit(False)), values).alias("values"),
-    )
-
-    def bunch(held: list[tuple]) -> pa.RecordBatch:
-        y = np.array([h[0] for h in held], float)
-        if not np.isin(y, (0.0, 1.0)).all():
-            raise ValueError("labels must be 0 or 1")
-        plain = all(h[4] is None for h in held)
-        values = [] if plain else [np.ones(len(h[3])) if h[4] is None else h[4] for h in held]
-        arrays = {
-            "y": y,
-            "fold": np.array([h[1] for h in held], np.int32),
-            "sizes": np.array([len(h[3]) for h in held], np.int64),
-            "at": np.concatenate([h[3] for h in held]).astype(np.int32),
-            "values": np.concatenate(values).astype(float) if values else np.empty(0),
-        }
-        return pa.RecordBatch.from_pydict(
-            {"width": pa.array([max(h[2] for h in held)], pa.int32())}
-            | {k: pa.array([v.tobytes()], pa.binary()) for k, v in arrays.items()}
-        )
+    same = (F.size(values) == 0) | ((F.array_min(values) == 1) & (F.array_max(values) == 1))
+    ones = vector["indices"].isNotNull() & same
+    df.select(
+        *(F.col(c).cast("double").alias(c) for c in columns),
+        F.coalesce(vector["size"], F.size(values)).alias(_WIDTH),
+        vector["indices"].alias(_AT),
+        F.when(~F.coalesce(ones, F.lit(False)), values).alias(_VALUES),
+    ).write.parquet(folder)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, entries = [], 0
-        for batch in batches:
-            ys, folds, widths = (batch.column(i).to_pylist() for i in range(3))
-            for i, (y, number, width) in enumerate(zip(ys, folds, widths)):
-                at, values = batch.column(3)[i], batch.column(4)[i]
-                values = values.values.to_numpy() if values.is_valid else None
-                at = at.values.to_numpy() if at.is_valid else np.arange(len(values))
-                held.append((y, number, width, at, values))
-                entries += len(at)
-                if entries >= ENTRIES:
-                    yield bunch(held)
-                    held, entries = [], 0
-            if held:  # what the arrays point into goes with its batch
-                yield bunch(held)
-                held, entries = [], 0
-
-    names = ("y", "fold", "sizes", "at", "values")
-    return rows.mapInArrow(run, "width int, " + ", ".join(f"{n} binary" for n in names))
-
-
-def _bunches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    kinds = (("y", float), ("fold", np.int32), ("sizes", np.int64), ("at", np.int32), ("values", float))
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield tuple(np.frombuffer(batch.column(n)[i].as_buffer(), k) for n, k in kinds)
+
+def _bunches(paths: list[str], folder: str, label: str, fold: str | None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Labels, folds, sizes, positions and values of some rows at a time.
+
+    Files are read a little at a time, so what a task holds does not go with its rows.
+    No values stand for ones.
+    """
+    names = [label, *([fold] if fold else []), _AT, _VALUES]
+    system, _ = files(folder)
+    for path in paths:
+        with system.open_input_file(path) as source:
+            file = pyarrow.parquet.ParquetFile(source, buffer_size=1 << 20)
+            for group in range(file.num_row_groups):
+                held = file.metadata.row_group(group)
+                arrays = (held.column(i) for i in range(held.num_columns))
+                entries = max(c.num_values for c in arrays if c.path_in_schema.startswith((f"{_AT}.", f"{_VALUES}.")))
+                most = max(1, min(held.num_rows, ENTRIES * held.num_rows // max(entries, 1)))
+                for batch in file.iter_batches(most, [group], names, use_threads=False):
+                    yield from _cut(*(batch.column(n) if n else None for n in (label, fold, _AT, _VALUES)))
+
+
+def _cut(labels: pa.Array, folds: pa.Array | None, at: pa.Array, values: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    """A batch in bunches of about ``ENTRIES`` entries at most, or of one row."""
+    y = labels.to_numpy(zero_copy_only=False)
+    number = folds.to_numpy(zero_copy_only=False) if folds is not None else np.full(len(y), -1.0)
+    if not np.isin(y, (0.0, 1.0)).all():
+        raise ValueError("labels must be 0 or 1")
+    if np.isnan(number).any():
+        raise ValueError("a row without a fold")
+    plain = not at.null_count and values.null_count == len(y)
+    if plain:
+        sizes = at.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    else:
+        lengths = pc.coalesce(at.value_lengths(), values.value_lengths())
+        if lengths.null_count:
+            raise ValueError("a row without features")
+        sizes = lengths.to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(y):
+        before = ends[first] - sizes[first]
+        last = max(first + 1, int(np.searchsorted(ends, before + ENTRIES, "right")))
+        rows = range(first, last)
+        if plain:
+            where, what = at.slice(first, last - first).flatten().to_numpy(), np.empty(0)
+        else:
+            where = np.concatenate([at[i].values.to_numpy() if at[i].is_valid else np.arange(sizes[i]) for i in rows])
+            what = [values[i].values.to_numpy() if values[i].is_valid else np.ones(sizes[i]) for i in rows]
+            what = np.concatenate(what).astype(float)
+        yield y[first:last], number[first:last], sizes[first:last], where.astype(np.int32, copy=False), what
+        first = last
 
 
 def _row_sums(entries: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -261,9 +276,8 @@ def _row_sums(entries: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _blocks(vectors: np.ndarray, tail: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
+def _blocks(task: int, vectors: np.ndarray, tail: np.ndarray, block: int) -> Iterator[pa.RecordBatch]:
     """Vectors of a task, columns last, cut into blocks."""
-    task = TaskContext.get().partitionId()
     for number in range(-(-vectors.shape[-1] // block)):
         part = np.ascontiguousarray(vectors[..., number * block : (number + 1) * block])
         yield pa.RecordBatch.from_arrays(
@@ -286,18 +300,23 @@ def _block_of(folder: str, number: int, *shape: int) -> np.ndarray:
 
 
 def fitted(
-    df: DataFrame, label: str, features: str, fits: list[Fit], most: int, fold: str | None = None, block: int = BLOCK
+    df: DataFrame, label: str, features: str, fits: list[Fit], most: int, fold: str | None = None, block: int = BLOCK,
+    stored: str | None = None,
 ) -> list[tuple[np.ndarray, float] | None]:
     """Weights and intercept of every fit; None for one whose rows have a single label.
 
     ``features`` is a vector column, ``fold`` names the column that fits leave rows out
     by.  A pass goes over the rows once for all fits.  A task needs twice the weights of
-    all fits, and what it sends does not depend on its rows.
+    all fits, and what it sends does not depend on its rows.  ``stored`` is a folder that
+    ``store_rows`` has put the same rows into; without it they are stored for these fits.
+
+    The rows stay in files and out of the executors' heaps: cached they would be large
+    arrays there, and every pass would copy them through the JVM to Python.
     """
     spark = df.sparkSession
     home, count = fresh_path(spark, "solver"), len(fits)
-    rows = _packed(df, label, features, fold).persist()
     outside = [f.left_out for f in fits]
+    rows = stored or f"{home}/rows"
 
     def whole(name: str, partial: Callable, merged: Callable) -> list[dict]:
         """Sums of all tasks by block, stored; their tails and inner products."""
@@ -313,18 +332,31 @@ def fitted(
                 [pa.array(m, k) for m, k in zip(made, kinds)], ["block", "vector", "dots", "tail"]
             )
 
-        parts = rows.mapInArrow(partial, _PART).groupBy("block").applyInArrow(grouped, _WHOLE)
+        def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for task in batch.column(0).to_pylist():
+                    for sums, tail in partial(_bunches(shares[task], rows, label, fold)):
+                        yield from _blocks(task, sums, tail, block)
+
+        tasks = spark.range(0, len(shares), 1, len(shares))
+        parts = tasks.mapInArrow(over, _PART).groupBy("block").applyInArrow(grouped, _WHOLE)
         parts.write.partitionBy("block").parquet(f"{home}/{name}")
         return _read(f"{home}/{name}", "dots", "tail")
 
+    shares: list[list[str]] = []
+
     def solve() -> list[tuple[np.ndarray, float] | None]:
-        width = rows.agg(F.max("width")).first()[0]
+        if not stored:
+            store_rows(df, features, [label, *([fold] if fold else [])], rows)
+        width = spark.read.parquet(rows).agg(F.max(_WIDTH)).first()[0]
         if not width:
             raise ValueError("no rows or no features to fit")
+        paths = stored_files(rows, ".parquet")
+        shares.extend(paths[i::MOST_GRADIENTS] for i in range(min(MOST_GRADIENTS, len(paths))))
 
-        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(bunches: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             sums, tail, some = np.zeros((2, count, width)), np.zeros((2, count)), False
-            for y, folds, sizes, at, values in _bunches(batches):
+            for y, folds, sizes, at, values in bunches:
                 some = True
                 for f, left_out in enumerate(outside):
                     own = (folds != left_out).astype(float) if left_out is not None else np.ones(len(y))
@@ -336,7 +368,7 @@ def fitted(
                         sums[1, f] += np.bincount(at, each, width)
                     tail[:, f] += own.sum(), own @ y
             if some:
-                yield from _blocks(sums, tail, block)
+                yield sums, tail
 
         def spread(number: int, vector: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             total, squares = vector.reshape(2, count, -1)
@@ -396,10 +428,10 @@ def fitted(
             intercepts = {f: float(point[0]) for f, point in points.items()}
             path = combined(points, step, f"at-{step}") if step else None
 
-            def sloped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def sloped(bunches: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 weights, offsets = together(_read(path, "block", "vector", "tail")) if path else (None, None)
                 sums, tail, some = np.zeros((count, width)), np.zeros((2, count)), False
-                for y, folds, sizes, at, values in _bunches(batches):
+                for y, folds, sizes, at, values in bunches:
                     some = True
                     for f, intercept in intercepts.items():
                         margin = np.full(len(y), intercept)
@@ -416,7 +448,7 @@ def fitted(
                         sums[f] += np.bincount(at, each * values if len(values) else each, width)
                         tail[:, f] += loss.sum(), off.sum()
                 if some:
-                    yield from _blocks(sums, tail, block)
+                    yield sums, tail
 
             def gradient(number: int, vector: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 mean, inverse = _block_of(f"{home}/spread", number, 2, count)
@@ -446,5 +478,4 @@ def fitted(
     try:
         return solve()
     finally:
-        rows.unpersist()
         remove(spark, home)

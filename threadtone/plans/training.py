@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from math import ceil
 from typing import Any
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,7 @@ from threadtone.operators.classifier import (
     holdout_auc,
 )
 from threadtone.operators.joins import dealt, labelled_comments
+from threadtone.operators.solver import MOST_GRADIENTS, store_rows
 from threadtone.operators.vocabulary import fit_vocabulary
 from threadtone.session import fresh_path
 from threadtone.sources.filesystem import exists, private_path, remove, replaced, settled
@@ -41,9 +42,6 @@ from threadtone.sources.writers import write_table, write_then_read
 # partition should hold rows enough to be worth one.
 ROWS_PER_PARTITION = 4096
 CONCURRENT_MODELS = 6
-# Gradients of a pass are shuffled by blocks of columns, so their number must not go with
-# the rows.  More tasks come from models side by side.
-MOST_GRADIENTS = 11
 # Folds must not follow the split into halves, so they go by another seed.
 FOLD_SEED = 1
 
@@ -169,18 +167,21 @@ def train(
     features = vocabulary.transform(parts).select("Input_id", *names, "part", "vectorized")
     features = features.join(dealt, F.col("Input_id").eqNullSafe(F.col("__id")), "left").drop("__id")
     # Rows are dealt out in turn, so copies of one comment cannot fill a partition.
-    features = features.repartition(partitions).sortWithinPartitions("Input_id").persist()
+    # They are kept on disk: as large arrays they would leave a heap no room.
+    features = features.repartition(partitions).sortWithinPartitions("Input_id").persist(StorageLevel.DISK_ONLY)
     slots = spark.sparkContext.defaultParallelism
     gradients = min(partitions, MOST_GRADIENTS)
     folds_at_a_time = max(1, min(folds, slots // gradients))
-    learn, held_out = features.where("part = 1").coalesce(gradients), features.where("part = 2")
-    # One pass fills the cache before the threads start asking for it.
-    features.count()
+    learn, held_out = features.where("part = 1"), features.where("part = 2")
+    # One pass fills the cache before the threads start asking for it, and stores what all
+    # models are fitted from.
+    rows = fresh_path(spark, "rows-to-fit")
+    store_rows(learn, "vectorized", [*names, *(f"fold_{n}" for n in names)], rows)
 
     def fit(name: str) -> tuple[str, CrossValidatorModel, float | None]:
         model = cross_validate(
-            learn, name, seed=seed, grid=grid, folds=folds,
-            parallelism=folds_at_a_time, fold=f"fold_{name}",
+            learn.coalesce(gradients), name, seed=seed, grid=grid, folds=folds,
+            parallelism=folds_at_a_time, fold=f"fold_{name}", stored=rows,
         )
         return name, model, holdout_auc(model, held_out, name) if evaluate else None
 
@@ -189,6 +190,7 @@ def train(
     finally:
         features.unpersist()
         remove(spark, home)
+        remove(spark, rows)
     return Trained(
         Bundle(tuple(targets), vocabulary, {name: model for name, model, _ in fits}),
         {name: float(max(model.avgMetrics)) for name, model, _ in fits},

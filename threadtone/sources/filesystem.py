@@ -24,6 +24,13 @@ def files(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(folder)
 
 
+def stored_files(folder: str, ending: str) -> list[str]:
+    """Paths of the files in a folder that end so, in order, for the file system of ``files``."""
+    system, path = files(folder)
+    found = system.get_file_info(pyarrow.fs.FileSelector(path))
+    return sorted(i.path for i in found if i.is_file and i.base_name.endswith(ending))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = file_system(spark, path)
     return fs.exists(target)
